@@ -1,6 +1,6 @@
 """Queries over the driver's tables, one or more per operator."""
 
-from cellshift.catalog import experiments  # noqa: F401
+from cellshift.catalog import comparisons, experiments, profiles  # noqa: F401
 from cellshift.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

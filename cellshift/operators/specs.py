@@ -105,10 +105,17 @@ def with_effect(specs: DataFrame) -> DataFrame:
 
 
 def with_experiment_ids(specs: DataFrame) -> DataFrame:
-    """``exp_0000`` by list position, starting again in every run."""
-    return with_ordinal(specs, ["run_id"], "position", "_ordinal").withColumn(
-        "experiment_id", numbered_key("exp", F.col("_ordinal"))
-    ).drop("_ordinal")
+    """``exp_0000`` by list position, for a run over the whole list."""
+    return specs.withColumn("experiment_id", numbered_key("exp", F.col("position")))
+
+
+def renumbered_experiment_ids(specs: DataFrame) -> DataFrame:
+    """``exp_0000`` by list position, starting again in every ``run_id``."""
+    return (
+        with_ordinal(specs, ["run_id"], "position", "_ordinal")
+        .withColumn("experiment_id", numbered_key("exp", F.col("_ordinal")))
+        .drop("_ordinal")
+    )
 
 
 def with_batch(specs: DataFrame, batch_size: int) -> DataFrame:
