@@ -68,12 +68,19 @@ def _with_attributes(cells: DataFrame, specs: DataFrame, rule: str) -> tuple[Dat
     return cells, specs
 
 
-def cohort_classes(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("donor", "cell_type").agg(F.count(F.lit(1)).alias("n_cells"))
+def cohort_classes(cells: DataFrame, **measures: Column) -> DataFrame:
+    return cells.groupBy("donor", "cell_type").agg(
+        F.count(F.lit(1)).alias("n_cells"), *[m.alias(name) for name, m in measures.items()]
+    )
+
 
+def matched_classes(
+    specs: DataFrame, cells: DataFrame, rule: str, *keep: str, **measures: Column
+) -> DataFrame:
+    """Spec keys (and ``keep``) with each attribute class they target.
 
-def matched_classes(specs: DataFrame, cells: DataFrame, rule: str, *keep: str) -> DataFrame:
-    """Spec keys (and ``keep``) with each attribute class they target."""
+    ``measures`` are further aggregates over the cells of a class.
+    """
     cells, specs = _with_attributes(cells, specs, rule)
     types = {f.name: f.dataType.simpleString() for f in cells.schema.fields}
     asked = (
@@ -89,13 +96,14 @@ def matched_classes(specs: DataFrame, cells: DataFrame, rule: str, *keep: str) -
         )
     )
     offered = (
-        cohort_classes(cells)
+        cohort_classes(cells, **measures)
         .select("*", _offered("donor", types["donor"]).alias("d"))
         .select("*", _offered("cell_type", types["cell_type"]).alias("t"))
         .select(
             "donor",
             "cell_type",
             "n_cells",
+            *measures,
             F.col("d.any").alias("o_d_any"),
             F.col("d.value").alias("o_d_value"),
             F.col("t.any").alias("o_t_any"),
@@ -108,7 +116,7 @@ def matched_classes(specs: DataFrame, cells: DataFrame, rule: str, *keep: str) -
         & F.col("d_value").eqNullSafe(F.col("o_d_value"))
         & F.col("t_value").eqNullSafe(F.col("o_t_value"))
     )
-    return asked.join(offered, on).select(*KEYS, *keep, "donor", "cell_type", "n_cells")
+    return asked.join(offered, on).select(*KEYS, *keep, "donor", "cell_type", "n_cells", *measures)
 
 
 def target_cell_counts(specs: DataFrame, cells: DataFrame, rule: str = "execution") -> DataFrame:

@@ -136,116 +136,109 @@ def changed_summary(
     """The same summary as ``distance_summary`` over all cells, from changed cells only.
 
     A cell an experiment leaves alone is at distance 0 from its baseline, or at
-    distance 1 when that baseline is the zero vector.  Those two groups enter
+    distance 1 when that baseline is the zero vector.  Those two blocks enter
     as counts, taken from class sizes, instead of as rows.
     """
     marked = baseline.select("cell_id", _is_empty("vector").alias("empty")).join(
         cells.select("cell_id", "donor", "cell_type"), "cell_id"
     )
-    empty_classes = marked.where("empty")
     totals = marked.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.count_if("empty").alias("n_empty")).alias("all")
     )
-
-    def target_counts(of: DataFrame, name: str) -> DataFrame:
-        hits = matched_classes(experiments, of, "comparison")
-        return hits.groupBy(*KEYS).agg(F.sum("n_cells").alias(name))
-
+    targets = (
+        matched_classes(experiments, marked, "comparison", n_empty=F.count_if("empty"))
+        .groupBy(*KEYS)
+        .agg(F.sum("n_cells").alias("t"), F.sum("n_empty").alias("t_empty"))
+    )
+    buffered = n_cells <= quantiles.BUFFER_ROWS
+    d = F.col("distance")
+    target = F.when(F.col("is_target"), d)
     changed = dist.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("c"),
+        F.count(d).alias("c"),
         F.count_if("was_empty").alias("c_empty"),
-        F.count_if("is_target").alias("ct"),
+        F.count(target).alias("ct"),
         F.count_if(F.col("is_target") & F.col("was_empty")).alias("ct_empty"),
-    )
-    zero = F.lit(0)
-    # Unchanged cells of every experiment: at distance 0, at distance 1, and the
-    # same two counts inside the target subset.
-    blocks = (
+        F.avg(d).alias("c_mean"),
+        F.var_pop(d).alias("c_var"),
+        F.min(d).alias("c_min"),
+        F.max(d).alias("c_max"),
+        F.avg(target).alias("ct_mean"),
+        F.count_if(d <= 1.0).alias("low"),
+        F.count_if(target <= 1.0).alias("t_low"),
+        # Only where a group is known to fit a buffer; otherwise ranks are looked up.
+        *([F.array_sort(F.collect_list(d)).alias("ds"), F.array_sort(F.collect_list(target)).alias("tds")] if buffered else []),
+    )
+    counts = ["t", "t_empty", "c", "c_empty", "ct", "ct_empty", "low", "t_low"]
+    parts = (
         experiments.select(*KEYS)
-        .join(target_counts(marked, "t"), KEYS, "left")
-        .join(target_counts(empty_classes, "t_empty"), KEYS, "left")
+        .join(targets, KEYS, "left")
         .join(changed, KEYS, "left")
-        .na.fill(0, ["t", "t_empty", "c", "c_empty", "ct", "ct_empty"])
+        .na.fill(0, counts)
+        .na.fill(0.0, ["c_mean", "c_var", "ct_mean"])
         .withColumn("all", totals.scalar())
         .select("*", "all.*")
-        .select(
-            *KEYS,
-            F.col("n").alias("n_cells"),
-            F.col("t").alias("n_target_cells"),
-            F.expr("n - n_empty - c + c_empty").alias("zeros"),
-            F.expr("n_empty - c_empty").alias("ones"),
-            F.expr("t - t_empty - ct + ct_empty").alias("target_zeros"),
-            F.expr("t_empty - ct_empty").alias("target_ones"),
+        .selectExpr(
+            "*",
+            "n - n_empty - c + c_empty AS zeros",
+            "n_empty - c_empty AS ones",
+            "t - t_empty - ct + ct_empty AS t_zeros",
+            "t_empty - ct_empty AS t_ones",
         )
-    )
-    return _summary_with_blocks(dist, blocks, n_cells)
-
-
-def _summary_with_blocks(dist: DataFrame, blocks: DataFrame, n_cells: int) -> DataFrame:
-    kept = blocks.select(
-        *KEYS,
-        F.expr(
-            "inline(array(struct(0D AS distance, zeros AS w, target_zeros AS wt),"
-            " struct(1D AS distance, ones AS w, target_ones AS wt)))"
-        ),
-    )
-    weighted = dist.selectExpr(
-        *KEYS, "distance", "1L AS w", "CASE WHEN is_target THEN 1L ELSE 0L END AS wt"
-    ).unionByName(kept)
-    d, w, wt = F.col("distance"), F.col("w"), F.col("wt")
-    present = F.when(w > 0, d)
-    buffered = n_cells <= quantiles.BUFFER_ROWS
-    medians = [
-        F.percentile(d, 0.5, w).alias("median_distance"),
-        F.percentile(d, 0.5, wt).alias("median_distance_target_subset"),
-    ]
-    out = weighted.groupBy(*KEYS).agg(
-        F.sum(w).alias("n_cells"),
-        F.sum(wt).alias("n_target_cells"),
-        (F.sum(d * w) / F.sum(w)).alias("mean_distance"),
-        F.min(present).alias("min_distance"),
-        F.max(present).alias("max_distance"),
-        F.try_divide(F.sum(d * wt), F.sum(wt)).alias("mean_distance_target_subset"),
-        *(medians if buffered else []),
-    )
-    if not buffered:
-        whole = blocks.select(*KEYS, F.col("n_cells").alias("n"), "zeros", "ones")
-        subset = blocks.selectExpr(
-            *KEYS, "n_target_cells AS n", "target_zeros AS zeros", "target_ones AS ones"
+        .withColumn("mean", F.expr("try_divide(c * c_mean + ones, n)"))
+    )
+    if buffered:
+        parts = parts.withColumn("median", F.expr(_buffered_median("n", "zeros", "ones", "low", "ds")))
+        parts = parts.withColumn("t_median", F.expr(_buffered_median("t", "t_zeros", "t_ones", "t_low", "tds")))
+    else:
+        whole = parts.selectExpr(*KEYS, "n", "zeros", "ones", "low")
+        subset = parts.selectExpr(*KEYS, "t AS n", "t_zeros AS zeros", "t_ones AS ones", "t_low AS low")
+        parts = parts.join(_median_with_blocks(dist, whole, "median"), KEYS, "left").join(
+            _median_with_blocks(dist.where("is_target"), subset, "t_median"), KEYS, "left"
         )
-        out = out.join(_median_with_blocks(dist, whole, "median_distance"), KEYS, "left").join(
-            _median_with_blocks(dist.where("is_target"), subset, "median_distance_target_subset"),
-            KEYS,
-            "left",
+    edge = "CASE WHEN zeros > 0 THEN 0D END, CASE WHEN ones > 0 THEN 1D END"
+    return parts.selectExpr(
+        *KEYS,
+        "n AS n_cells",
+        "t AS n_target_cells",
+        "mean AS mean_distance",
+        "median AS median_distance",
+        "sqrt(try_divide(c * c_var + c * pow(c_mean - mean, 2) + zeros * pow(mean, 2)"
+        " + ones * pow(1 - mean, 2), n)) AS std_distance",
+        f"least({edge}, c_min) AS min_distance",
+        f"greatest({edge}, c_max) AS max_distance",
+        "try_divide(ct * ct_mean + t_ones, t) AS mean_distance_target_subset",
+        "t_median AS median_distance_target_subset",
+    )
+
+
+def _buffered_median(n: str, zeros: str, ones: str, low: str, values: str) -> str:
+    def at(rank: str) -> str:
+        return (
+            f"CASE WHEN {rank} < {zeros} THEN 0D"
+            f" WHEN {rank} < {zeros} + {low} THEN {values}[int({rank} - {zeros})]"
+            f" WHEN {rank} < {zeros} + {low} + {ones} THEN 1D"
+            f" ELSE {values}[int({rank} - {zeros} - {ones})] END"
         )
-    # Second pass for the spread, around the mean just found.
-    spread = (
-        weighted.join(out.select(*KEYS, "mean_distance"), KEYS)
-        .groupBy(*KEYS)
-        .agg(F.sqrt(F.sum(w * F.pow(d - F.col("mean_distance"), 2)) / F.sum(w)).alias("std_distance"))
-    )
-    return out.join(spread, KEYS)
+
+    return f"CASE WHEN {n} > 0 THEN ({at(f'(({n} - 1) div 2)')} + {at(f'({n} div 2)')}) / 2 END"
 
 
 def _median_with_blocks(dist: DataFrame, blocks: DataFrame, name: str) -> DataFrame:
     """Median of the listed distances plus ``zeros`` times 0 and ``ones`` times 1.
 
     No distance is below 0, so the order is: zeros, listed values up to 1, ones,
-    the other listed values.  A rank in the whole order becomes a rank among the
-    listed values.
+    the other listed values; ``low`` counts the listed values up to 1.  A rank in
+    the whole order becomes a rank among the listed values.
     """
-    low = dist.groupBy(*KEYS).agg(F.count_if(F.col("distance") <= 1.0).alias("_upto_one"))
     ranks = (
         blocks.where("n > 0")
-        .join(low, KEYS, "left")
-        .na.fill(0, ["_upto_one"])
         .select("*", F.expr("explode(array_distinct(array((n - 1) div 2, n div 2))) AS r"))
         .selectExpr(
             *KEYS,
             "r",
             "CASE WHEN r < zeros THEN 0D"
-            " WHEN r >= zeros + _upto_one AND r < zeros + _upto_one + ones THEN 1D END AS known",
-            "CASE WHEN r < zeros + _upto_one THEN r - zeros ELSE r - zeros - ones END AS rank",
+            " WHEN r >= zeros + low AND r < zeros + low + ones THEN 1D END AS known",
+            "CASE WHEN r < zeros + low THEN r - zeros ELSE r - zeros - ones END AS rank",
         )
     )
     wanted = ranks.where("known IS NULL").select(*KEYS, "rank").distinct()
