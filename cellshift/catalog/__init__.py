@@ -1,6 +1,14 @@
 """Queries over the driver's tables, one or more per operator."""
 
-from cellshift.catalog import comparisons, experiments, profiles, scalars, storage  # noqa: F401
+from cellshift.catalog import (  # noqa: F401
+    checks,
+    comparisons,
+    experiments,
+    lineage,
+    profiles,
+    scalars,
+    storage,
+)
 from cellshift.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -60,11 +60,13 @@ def specs_of_one_type(spark, sf):
     + """
 SELECT position, perturbation_type FROM draft
 WHERE coalesce(lower(trim(perturbation_type)), '') NOT IN
-  (SELECT lower(trim(perturbation_type)) FROM specs WHERE position % 7 <> 2 AND position % 7 <> 5)""",
+  (SELECT kind FROM typed WHERE kind <> 'gene_activation')""",
 )
 def specs_undeclared(spark, sf):
     """Every type but activation is declared."""
-    declared = b.specs(spark, sf).where("position % 7 NOT IN (2, 5)").select("perturbation_type")
+    declared = b.specs(spark, sf).select("perturbation_type").where(
+        normalized_label(F.col("perturbation_type")) != "gene_activation"
+    )
     return sp.undeclared_specs(b.draft_specs(spark, sf), declared).select("position", "perturbation_type")
 
 
@@ -217,14 +219,15 @@ def partition_status(spark, sf):
     + """
 , kinds AS (SELECT unnest(['gene_knockout', 'gene_overexpression', 'gene_activation']) AS perturbation_type),
 n AS (SELECT lower(trim(perturbation_type)) AS perturbation_type, count(*) AS n FROM draft
-  WHERE position % 7 NOT IN (2, 5) GROUP BY 1)
+  WHERE lower(trim(perturbation_type)) <> 'gene_activation' GROUP BY 1)
 SELECT perturbation_type, coalesce(n, 0) AS n_experiments, n IS NULL AS skipped,
   CASE WHEN n IS NULL THEN 'skipped_no_matching_specs' ELSE 'run' END AS status
 FROM kinds LEFT JOIN n USING (perturbation_type)""",
 )
 def typed_run_status(spark, sf):
     """A config without activation experiments skips that type."""
-    return sp.typed_runs(b.draft_specs(spark, sf).where("position % 7 NOT IN (2, 5)"))
+    drafts = b.draft_specs(spark, sf)
+    return sp.typed_runs(drafts.where(normalized_label(F.col("perturbation_type")) != "gene_activation"))
 
 
 # --- cohorts -----------------------------------------------------------------

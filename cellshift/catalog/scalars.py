@@ -36,13 +36,13 @@ def text_slugs(spark, sf):
 , lists AS (
   SELECT p_brand, list_sort(list_distinct(list_transform(list_filter(list(DISTINCT p_name), lambda v: trim(v) <> ''),
     lambda v: trim(regexp_replace(v, '[^\p{L}\p{N}_-]', '_', 'g'), '_')))) AS s
-  FROM part WHERE p_size <= 3 GROUP BY 1)
+  FROM part GROUP BY 1)
 SELECT p_brand, CASE WHEN len(s) = 0 THEN 'none'
   ELSE rtrim(left(array_to_string(s[1:3], '_') || CASE WHEN len(s) > 3 THEN '_more' ELSE '' END, 63), '') END AS tag
 FROM lists""",
 )
 def compact_tags(spark, sf):
-    named = b.table(spark, sf, "part").where("p_size <= 3").groupBy("p_brand").agg(
+    named = b.table(spark, sf, "part").groupBy("p_brand").agg(
         F.collect_set("p_name").alias("names")
     )
     return named.select("p_brand", text.compact_tag(F.col("names")).alias("tag"))
