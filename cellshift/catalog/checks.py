@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cellshift.catalog import binding as b
-from cellshift.catalog.comparisons import VECTORS, rounded, vector_summary
+from cellshift.catalog.comparisons import VECTORS, rounded, vector_distances, vector_summary
 from cellshift.catalog.experiments import SPECS
 from cellshift.catalog.registry import query
 from cellshift.functions import cursors
@@ -375,10 +375,8 @@ FROM distances WHERE experiment_id <> 'exp_0001'""",
 )
 def distance_bundle(spark, sf):
     """Distances of the experiments a manifest lists; one of them lists no distance file."""
-    from cellshift.catalog.comparisons import cosine_distances
-
     records = b.vector_specs(spark, sf).withColumn(
         "distance_file", F.when(F.col("experiment_id") != "exp_0001", F.lit("per_experiment"))
     )
-    bundle = gold.distance_bundle(records, cosine_distances(spark, sf))
+    bundle = gold.distance_bundle(records, vector_distances(spark, sf))
     return bundle.withColumn("distance", F.round(F.col("distance").cast("double"), 5))

@@ -25,7 +25,7 @@ def rounded(df, digits: int = 6):
     )
 
 
-def _distances(spark, sf):
+def vector_distances(spark, sf):
     return compare.distances(b.perturbed_vectors(spark, sf), b.baseline_vectors(spark, sf))
 
 
@@ -42,7 +42,7 @@ def vector_norms(spark, sf):
     VECTORS + "SELECT 'run_all' AS run_id, experiment_id, cell_id, round(distance, 6) AS distance FROM distances",
 )
 def cosine_distances(spark, sf):
-    return rounded(_distances(spark, sf))
+    return rounded(vector_distances(spark, sf))
 
 
 @query(
@@ -51,7 +51,7 @@ def cosine_distances(spark, sf):
 )
 def target_flags(spark, sf):
     return rounded(
-        compare.with_target_flag(_distances(spark, sf), b.vector_cells(spark, sf), b.vector_specs(spark, sf))
+        compare.with_target_flag(vector_distances(spark, sf), b.vector_cells(spark, sf), b.vector_specs(spark, sf))
     )
 
 
@@ -66,7 +66,7 @@ SUMMARY_SQL = """
 
 def vector_summary(spark, sf):
     flagged = compare.with_target_flag(
-        _distances(spark, sf), b.vector_cells(spark, sf), b.vector_specs(spark, sf)
+        vector_distances(spark, sf), b.vector_cells(spark, sf), b.vector_specs(spark, sf)
     )
     return compare.distance_summary(flagged, b.table(spark, sf, "embeddings").count())
 

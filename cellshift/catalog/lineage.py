@@ -115,7 +115,9 @@ def batch_memo_tokens(spark, sf):
         ).alias("text"),
     )
     work = (
-        lineage.specs_fingerprint(members, ["batch_key", "perturbation_type"], "text")
+        lineage.rows_fingerprint(
+            members, ["batch_key", "perturbation_type"], "text", "specs_fingerprint"
+        )
         .withColumn("model_name", F.lit(model.MODEL_NAMES[0]))
         .withColumn("model_version", F.lit(model.MODEL_VERSION))
         .withColumn("dataset_fingerprint", F.lit("data"))
@@ -225,10 +227,10 @@ def run_versions(spark, sf):
     "aggregate_versions",
     VERSION_SQL
     + """
-SELECT model_name, left(sha256('perturbation_run_aggregate|' ||
-  string_agg(DISTINCT perturbation_type || ':' || data_version, '|' ORDER BY perturbation_type || ':' || data_version)
-  || '|' || model_name), 24) AS data_version
-FROM versions GROUP BY 1""",
+SELECT model_name, left(sha256('perturbation_run_aggregate|' || model_name || '|' || left(sha256(
+  sum(('0x' || left(sha256(perturbation_type || ':' || data_version), 15))::BIGINT::HUGEINT)::VARCHAR
+  || '|' || count(*)), 24)), 24) AS data_version
+FROM (SELECT DISTINCT model_name, perturbation_type, data_version FROM versions) GROUP BY 1""",
 )
 def aggregate_versions(spark, sf):
     return lineage.aggregate_version(_versions(spark, sf))

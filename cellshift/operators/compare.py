@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cellshift.functions.vectors import cosine_distance
 from cellshift.operators import quantiles
 from cellshift.operators.cohorts import is_target, matched_classes
+from cellshift.operators.resting import resting_summary
 from cellshift.operators.specs import KEYS
 
 METRIC = "cosine_distance"
@@ -110,19 +111,48 @@ def distance_summary(flagged: DataFrame, n_cells: int) -> DataFrame:
 # --- comparison from changed cells only --------------------------------------
 
 
+def resting_distances(own: DataFrame, baseline: DataFrame, cells: DataFrame) -> DataFrame:
+    """Distance of every unchanged cell to the baseline, with the cell's attributes."""
+    base = baseline.select("cell_id", F.col("vector").alias("_base"))
+    return (
+        own.join(base, "cell_id")
+        .select("cell_id", cosine_distance(F.col("vector"), F.col("_base")).alias("distance"))
+        .join(cells.select("cell_id", "donor", "cell_type"), "cell_id")
+    )
+
+
 def changed_distances(changed: DataFrame, cells: DataFrame, experiments: DataFrame) -> DataFrame:
-    """Distances of the changed cells, with the target flag and the baseline's emptiness."""
+    """Distances of the changed cells to their own baseline, with the target flag.
+
+    ``rest`` is the distance the cell had unchanged: 0, or 1 for a zero vector.
+    """
     dist = changed.select(
         *KEYS,
         "cell_id",
         cosine_distance(F.col("after"), F.col("before")).alias("distance"),
-        _is_empty("before").alias("was_empty"),
+        F.when(_is_empty("before"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("rest"),
     )
+    return _flagged(dist, cells, experiments)
+
+
+def changed_distances_to(
+    changed: DataFrame, baseline: DataFrame, rest: DataFrame, experiments: DataFrame
+) -> DataFrame:
+    """Distances of the changed cells to any baseline; ``rest`` from ``resting_distances``."""
+    base = baseline.select("cell_id", F.col("vector").alias("_base"))
+    dist = changed.join(base, "cell_id").select(
+        *KEYS, "cell_id", cosine_distance(F.col("after"), F.col("_base")).alias("distance")
+    )
+    known = rest.select("cell_id", F.col("distance").alias("rest"))
+    return _flagged(dist.join(known, "cell_id"), rest, experiments)
+
+
+def _flagged(dist: DataFrame, cells: DataFrame, experiments: DataFrame) -> DataFrame:
     lists = experiments.select(*KEYS, "target_donors", "target_cell_types")
     return (
         dist.join(cells.select("cell_id", "donor", "cell_type"), "cell_id")
         .join(lists, KEYS)
-        .select(*KEYS, "cell_id", "distance", "was_empty", is_target("comparison").alias("is_target"))
+        .select(*KEYS, "cell_id", "distance", "rest", is_target("comparison").alias("is_target"))
     )
 
 
@@ -135,10 +165,16 @@ def changed_summary(
 ) -> DataFrame:
     """The same summary as ``distance_summary`` over all cells, from changed cells only.
 
-    A cell an experiment leaves alone is at distance 0 from its baseline, or at
-    distance 1 when that baseline is the zero vector.  Those two blocks enter
-    as counts, taken from class sizes, instead of as rows.
+    A cell an experiment leaves alone is at distance 0 from its own baseline, or
+    at distance 1 when that baseline is the zero vector.  Those two blocks enter
+    as counts, taken from class sizes, instead of as rows.  Beyond the size a
+    buffer may have, ranks are looked up instead (see ``resting``).
     """
+    if n_cells > quantiles.BUFFER_ROWS:
+        rest = baseline.select(
+            "cell_id", F.when(_is_empty("vector"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("distance")
+        ).join(cells.select("cell_id", "donor", "cell_type"), "cell_id")
+        return resting_summary(dist, rest, experiments)
     marked = baseline.select("cell_id", _is_empty("vector").alias("empty")).join(
         cells.select("cell_id", "donor", "cell_type"), "cell_id"
     )
@@ -150,14 +186,13 @@ def changed_summary(
         .groupBy(*KEYS)
         .agg(F.sum("n_cells").alias("t"), F.sum("n_empty").alias("t_empty"))
     )
-    buffered = n_cells <= quantiles.BUFFER_ROWS
     d = F.col("distance")
     target = F.when(F.col("is_target"), d)
     changed = dist.groupBy(*KEYS).agg(
         F.count(d).alias("c"),
-        F.count_if("was_empty").alias("c_empty"),
+        F.count_if(F.expr("rest = 1")).alias("c_empty"),
         F.count(target).alias("ct"),
-        F.count_if(F.col("is_target") & F.col("was_empty")).alias("ct_empty"),
+        F.count_if(F.expr("is_target AND rest = 1")).alias("ct_empty"),
         F.avg(d).alias("c_mean"),
         F.var_pop(d).alias("c_var"),
         F.min(d).alias("c_min"),
@@ -165,8 +200,9 @@ def changed_summary(
         F.avg(target).alias("ct_mean"),
         F.count_if(d <= 1.0).alias("low"),
         F.count_if(target <= 1.0).alias("t_low"),
-        # Only where a group is known to fit a buffer; otherwise ranks are looked up.
-        *([F.array_sort(F.collect_list(d)).alias("ds"), F.array_sort(F.collect_list(target)).alias("tds")] if buffered else []),
+        # At most n_cells values, which were checked to fit.
+        F.array_sort(F.collect_list(d)).alias("ds"),
+        F.array_sort(F.collect_list(target)).alias("tds"),
     )
     counts = ["t", "t_empty", "c", "c_empty", "ct", "ct_empty", "low", "t_low"]
     parts = (
@@ -186,15 +222,9 @@ def changed_summary(
         )
         .withColumn("mean", F.expr("try_divide(c * c_mean + ones, n)"))
     )
-    if buffered:
-        parts = parts.withColumn("median", F.expr(_buffered_median("n", "zeros", "ones", "low", "ds")))
-        parts = parts.withColumn("t_median", F.expr(_buffered_median("t", "t_zeros", "t_ones", "t_low", "tds")))
-    else:
-        whole = parts.selectExpr(*KEYS, "n", "zeros", "ones", "low")
-        subset = parts.selectExpr(*KEYS, "t AS n", "t_zeros AS zeros", "t_ones AS ones", "t_low AS low")
-        parts = parts.join(_median_with_blocks(dist, whole, "median"), KEYS, "left").join(
-            _median_with_blocks(dist.where("is_target"), subset, "t_median"), KEYS, "left"
-        )
+    parts = parts.withColumn(
+        "median", F.expr(_buffered_median("n", "zeros", "ones", "low", "ds"))
+    ).withColumn("t_median", F.expr(_buffered_median("t", "t_zeros", "t_ones", "t_low", "tds")))
     edge = "CASE WHEN zeros > 0 THEN 0D END, CASE WHEN ones > 0 THEN 1D END"
     return parts.selectExpr(
         *KEYS,
@@ -221,30 +251,3 @@ def _buffered_median(n: str, zeros: str, ones: str, low: str, values: str) -> st
         )
 
     return f"CASE WHEN {n} > 0 THEN ({at(f'(({n} - 1) div 2)')} + {at(f'({n} div 2)')}) / 2 END"
-
-
-def _median_with_blocks(dist: DataFrame, blocks: DataFrame, name: str) -> DataFrame:
-    """Median of the listed distances plus ``zeros`` times 0 and ``ones`` times 1.
-
-    No distance is below 0, so the order is: zeros, listed values up to 1, ones,
-    the other listed values; ``low`` counts the listed values up to 1.  A rank in
-    the whole order becomes a rank among the listed values.
-    """
-    ranks = (
-        blocks.where("n > 0")
-        .select("*", F.expr("explode(array_distinct(array((n - 1) div 2, n div 2))) AS r"))
-        .selectExpr(
-            *KEYS,
-            "r",
-            "CASE WHEN r < zeros THEN 0D"
-            " WHEN r >= zeros + low AND r < zeros + low + ones THEN 1D END AS known",
-            "CASE WHEN r < zeros + low THEN r - zeros ELSE r - zeros - ones END AS rank",
-        )
-    )
-    wanted = ranks.where("known IS NULL").select(*KEYS, "rank").distinct()
-    found = quantiles.values_at_ranks(dist, KEYS, "distance", wanted)
-    return (
-        ranks.join(found, [*KEYS, "rank"], "left")
-        .groupBy(*KEYS)
-        .agg(F.avg(F.coalesce("known", "value")).alias(name))
-    )

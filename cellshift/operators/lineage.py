@@ -45,17 +45,17 @@ def with_batch_token(work: DataFrame) -> DataFrame:
     )
 
 
-def specs_fingerprint(members: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """One fingerprint per group of specs, whatever the group's size.
+def rows_fingerprint(rows: DataFrame, keys: list[str], text: str, name: str) -> DataFrame:
+    """One fingerprint per group of rows, whatever the group's size.
 
     Row hashes are added up as exact decimals: the sum does not depend on the
     order of the rows and is formed by partial aggregates.
     """
     row = F.conv(F.left(F.sha2(F.col(text), 256), F.lit(15)), 16, 10).cast("decimal(38,0)")
     return (
-        members.groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.sum(row).cast("string").alias("_sum"), F.count(F.lit(1)).alias("_n"))
-        .select(*keys, version_token(F.col("_sum"), F.col("_n")).alias("specs_fingerprint"))
+        .select(*keys, version_token(F.col("_sum"), F.col("_n")).alias(name))
     )
 
 
@@ -145,17 +145,17 @@ def run_versions(runs: DataFrame) -> DataFrame:
 
 def aggregate_version(runs: DataFrame) -> DataFrame:
     """Version of a merged run set; it follows the versions of the runs inside."""
-    return runs.groupBy("model_name").agg(
-        list_token(
-            F.lit("perturbation_run_aggregate"),
-            F.collect_set(F.concat_ws(":", "perturbation_type", "data_version")),
-            F.col("model_name"),
-        ).alias("data_version")
+    member = F.concat_ws(":", "perturbation_type", "data_version")
+    members = runs.select("model_name", member.alias("_member")).distinct()
+    inside = rows_fingerprint(members, ["model_name"], "_member", "_inside")
+    tag = F.lit("perturbation_run_aggregate")
+    return inside.select(
+        "model_name", version_token(tag, F.col("model_name"), F.col("_inside")).alias("data_version")
     )
 
 
 def comparison_version(results: DataFrame, model_version: str, model_name: str) -> DataFrame:
-    """Version of a set of comparison results from their manifests' fingerprints."""
+    """Version of a set of comparison results, one per type, from their fingerprints."""
     return results.agg(
         list_token(
             F.lit("comparison_results"),
