@@ -365,6 +365,6 @@ artifact_log AS (
     props AS content, ts AS updated_at, event_id AS sequence
   FROM events),
 registry AS (
-  SELECT logical_path, arg_max(content, (updated_at, sequence)) AS content,
-    max(updated_at) AS updated_at
+  SELECT logical_path, arg_max(content, sequence) AS content,
+    arg_max(updated_at, sequence) AS updated_at
   FROM artifact_log GROUP BY 1)"""

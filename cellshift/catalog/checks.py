@@ -162,8 +162,8 @@ def config_problems(spark, sf):
     EVENTS
     + """
 SELECT m.* FROM materializations m JOIN (
-  SELECT asset, "partition", max((ts, storage_id)) AS newest FROM materializations GROUP BY 1, 2) n
-ON m.asset = n.asset AND m."partition" = n."partition" AND (m.ts, m.storage_id) = n.newest""",
+  SELECT asset, "partition", max(storage_id) AS newest FROM materializations GROUP BY 1, 2) n
+ON m.asset = n.asset AND m."partition" = n."partition" AND m.storage_id = n.newest""",
 )
 def latest_materializations(spark, sf):
     return quality.latest_materializations(b.materializations(spark, sf))

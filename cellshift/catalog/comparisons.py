@@ -26,7 +26,8 @@ def rounded(df, digits: int = 6):
 
 
 def vector_distances(spark, sf):
-    return compare.distances(b.perturbed_vectors(spark, sf), b.baseline_vectors(spark, sf))
+    base = b.baseline_vectors(spark, sf)
+    return compare.distances(b.perturbed_vectors(spark, sf), base, compare.vector_bytes(base))
 
 
 @query(

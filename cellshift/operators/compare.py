@@ -15,6 +15,11 @@ METRIC = "cosine_distance"
 # --- inputs ------------------------------------------------------------------
 
 
+def vector_bytes(vectors: DataFrame) -> int:
+    """Size of a table of vectors, counted in the cluster."""
+    return vectors.agg(F.sum(F.size("embedding").cast("bigint") * 4 + 32)).first()[0] or 0
+
+
 def missing_embeddings(experiments: DataFrame, perturbed: DataFrame) -> DataFrame:
     """Experiments of a run that have no embedding at all."""
     present = perturbed.select(*KEYS).distinct()
@@ -55,9 +60,21 @@ def baseline_width_problems(baseline: DataFrame, dim: int) -> DataFrame:
 # --- dense comparison --------------------------------------------------------
 
 
-def distances(perturbed: DataFrame, baseline: DataFrame) -> DataFrame:
-    """``run_id, experiment_id, cell_id, distance`` for every perturbed vector."""
+BROADCAST_BYTES = 256 * 1024 * 1024  # largest baseline copied to every executor
+
+
+def distances(
+    perturbed: DataFrame, baseline: DataFrame, baseline_bytes: int | None = None
+) -> DataFrame:
+    """``run_id, experiment_id, cell_id, distance`` for every perturbed vector.
+
+    There are many perturbed vectors per baseline vector.  Where the checked
+    size of the baseline allows it, it is copied to the executors and the
+    perturbed vectors are not shuffled; otherwise both sides meet by cell.
+    """
     base = baseline.select("cell_id", F.col("embedding").alias("_base"))
+    if baseline_bytes is not None and baseline_bytes <= BROADCAST_BYTES:
+        base = F.broadcast(base)
     return perturbed.join(base, "cell_id").select(
         *KEYS, "cell_id", cosine_distance(F.col("embedding"), F.col("_base")).alias("distance")
     )

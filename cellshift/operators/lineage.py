@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cellshift.functions.hashing import list_token, version_token
 from cellshift.functions.text import batch_run_id, last_segment, root_key, typed_run_id
+from cellshift.operators.latest import latest_by
 
 
 def with_typed_token(work: DataFrame) -> DataFrame:
@@ -95,13 +96,7 @@ def active_runs(runs: DataFrame) -> DataFrame:
 
 def last_run_per_type(runs: DataFrame) -> DataFrame:
     """Of several active runs of a type the last one, by ``position``, counts."""
-    others = [c for c in runs.columns if c != "perturbation_type"]
-    return (
-        active_runs(runs)
-        .groupBy("perturbation_type")
-        .agg(F.max_by(F.struct(*others), "position").alias("last"))
-        .select("perturbation_type", "last.*")
-    )
+    return latest_by(active_runs(runs), ["perturbation_type"], "position")
 
 
 def merged_runs(*typed: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Artifacts by logical path: an append-only put log, reads and existence.
 
-The log has ``logical_path, content, updated_at, sequence``; ``sequence`` breaks
-ties between puts of the same moment.  Datasets themselves are never kept here.
+The log has ``logical_path, content, updated_at, sequence``; ``sequence`` is the
+order of the puts.  Datasets themselves are never kept here.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -9,20 +9,16 @@ from pyspark.sql import functions as F
 
 from cellshift.functions.hashing import content_fingerprint, file_fingerprint
 from cellshift.functions.text import is_dataset_file, path_key
+from cellshift.operators.latest import latest_by
 
 
 def registry(log: DataFrame) -> DataFrame:
-    """The latest content per logical path.
-
-    Each task first keeps its own newest put of a path, so a path written very
-    often sends one row per task, not all its puts, to a single reducer.
-    """
-    put = F.struct("updated_at", "sequence")
-    return (
-        log.where(~is_dataset_file(F.col("logical_path")))
-        .groupBy(path_key(F.col("logical_path")).alias("logical_path"))
-        .agg(F.max_by(F.struct("content", "updated_at"), put).alias("last"))
-        .select("logical_path", "last.*")
+    """The latest content per logical path; a later ``sequence`` replaces an earlier one."""
+    puts = log.where(~is_dataset_file(F.col("logical_path"))).withColumn(
+        "logical_path", path_key(F.col("logical_path"))
+    )
+    return latest_by(puts, ["logical_path"], "sequence").select(
+        "logical_path", "content", "updated_at"
     )
 
 
