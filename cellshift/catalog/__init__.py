@@ -3,6 +3,7 @@
 from cellshift.catalog import (  # noqa: F401
     checks,
     comparisons,
+    composites,
     experiments,
     lineage,
     profiles,

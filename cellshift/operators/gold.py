@@ -131,20 +131,21 @@ def lineage_dimensions(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Without ``by`` this is the union over all result sets.
     """
-    one = F.lit(1).alias("_one")
-    group = list(by) or ["_one"]
-    source = records if by else records.select("*", one)
-
-    def distinct(column, name):
-        listed = source.select(*group, column.alias("v")).where("v IS NOT NULL").distinct()
-        return listed.groupBy(*group).agg(F.array_sort(F.collect_list(F.col("v").cast("string"))).alias(name))
+    def values(name: str, items):
+        return F.transform(items, lambda v: F.struct(F.lit(name).alias("name"), v.cast("string").alias("v")))
 
     none = F.array().cast("array<string>")
-    out = source.select(*group).distinct()
-    for column, name in (
-        (F.col("perturbation_type"), "perturbation_types"),
-        (F.explode("target_cell_types"), "target_cell_types"),
-        (F.explode("target_donors"), "target_donors"),
-    ):
-        out = out.join(distinct(column, name), group, "left").withColumn(name, F.coalesce(name, none))
-    return out.drop("_one")
+    names = ("perturbation_types", "target_cell_types", "target_donors")
+    found = F.concat(
+        values(names[0], F.array("perturbation_type")),
+        values(names[1], F.coalesce("target_cell_types", none)),
+        values(names[2], F.coalesce("target_donors", none)),
+    )
+    # Distinct before gathering: a list holds each value once, however many rows carry it.
+    distinct = records.select(*by, F.explode(found).alias("d")).select(*by, "d.*").distinct()
+    return distinct.groupBy(*by).agg(
+        *[
+            F.array_sort(F.collect_list(F.when(F.col("name") == name, F.col("v")))).alias(name)
+            for name in names
+        ]
+    )

@@ -2,12 +2,12 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellshift import model
-from cellshift.operators.quantiles import percentiles
+from cellshift.operators import quantiles
 
 
 def _totals(side: DataFrame, key: str, expression: DataFrame) -> DataFrame:
@@ -97,6 +97,16 @@ def percentile_names(probabilities: Sequence[float]) -> list[str]:
     return [f"p{round(p * 100):02d}" for p in probabilities]
 
 
+def _measures(x: Column) -> dict[str, Column]:
+    return {
+        "n": F.count(x),
+        "mean": F.avg(x),
+        "std": F.stddev_samp(x),
+        "min": F.min(x),
+        "max": F.max(x),
+    }
+
+
 def describe(
     df: DataFrame,
     column: str,
@@ -107,24 +117,52 @@ def describe(
 
     ``rows`` bounds the rows of ``df``; it picks the percentile method.
     """
+    return describe_columns(df, [column], rows, probabilities).select("measures.*")
+
+
+def describe_columns(
+    df: DataFrame,
+    columns: Sequence[str],
+    rows: int,
+    probabilities: Sequence[float] = model.PROFILE_PERCENTILES,
+) -> DataFrame:
+    """``column_name, measures`` for several numeric columns from one pass over the rows."""
     names = percentile_names(probabilities)
-    x = F.col(column).cast("double")
-    basic = df.agg(
-        F.count(x).alias("n"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-    )
-    points = percentiles(df.select(x.alias("x")), [], "x", probabilities, names, rows)
-    both = basic.unionByName(points, allowMissingColumns=True)
+    buffered = rows <= quantiles.BUFFER_ROWS
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    aggregates = []
+    for i, column in enumerate(columns):
+        x = F.col(column).cast("double")
+        aggregates += [m.alias(f"_{i}_{name}") for name, m in _measures(x).items()]
+        if buffered:
+            aggregates.append(F.percentile(x, points).alias(f"_{i}_p"))
+    one = df.agg(*aggregates)
+    if buffered:
+        for i, _ in enumerate(columns):
+            for j, name in enumerate(names):
+                one = one.withColumn(f"_{i}_{name}", F.col(f"_{i}_p")[j])
+    else:
+        for i, column in enumerate(columns):
+            x = df.select(F.col(column).cast("double").alias("x"))
+            found = quantiles.percentiles(
+                x, [], "x", probabilities, [f"_{i}_{name}" for name in names], rows
+            )
+            one = one.unionByName(found, allowMissingColumns=True)
+        one = one.agg(*[F.max(c).alias(c) for c in one.columns])
     order = ["n", "mean", "std", "min", *names, "max"]
-    return both.agg(*[F.max(c).alias(c) for c in order])
+    described = [
+        F.struct(
+            F.lit(column).alias("column_name"),
+            F.struct(*[F.col(f"_{i}_{c}").alias(c) for c in order]).alias("measures"),
+        )
+        for i, column in enumerate(columns)
+    ]
+    return one.select(F.inline(F.array(*described)))
 
 
 def size_factors(totals: DataFrame, rows: int) -> DataFrame:
     """Each cell's total divided by the median total."""
-    median = percentiles(totals, [], "total", [0.5], ["median"], rows)
+    median = quantiles.percentiles(totals, [], "total", [0.5], ["median"], rows)
     return totals.select("cell_id", (F.col("total") / median.scalar()).alias("size_factor"))
 
 
@@ -145,14 +183,23 @@ def first_rows(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def _long(df: DataFrame, section: str, column: str) -> DataFrame:
-    """A one-row table as (section, column_name, metric, value) rows."""
+def _long(df: DataFrame, section: str, name: Column, values: dict[str, str]) -> DataFrame:
+    """Wide rows as (section, column_name, metric, value) rows."""
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in df.columns]
-    )
-    return df.select(
-        F.lit(section).alias("section"), F.lit(column).alias("column_name"), F.inline(pairs)
+        *[
+            F.struct(F.lit(metric).alias("metric"), F.col(c).cast("double").alias("value"))
+            for metric, c in values.items()
+        ]
     )
+    return df.select(F.lit(section).alias("section"), name.alias("column_name"), F.inline(pairs))
+
+
+def _described(
+    df: DataFrame, section: str, columns: Sequence[str], rows: int, probabilities: Sequence[float]
+) -> DataFrame:
+    order = ("n", "mean", "std", "min", *percentile_names(probabilities), "max")
+    wide = describe_columns(df, columns, rows, probabilities)
+    return _long(wide, section, F.col("column_name"), {c: f"measures.{c}" for c in order})
 
 
 def _column_profile(
@@ -169,8 +216,7 @@ def _column_profile(
             counted = flag_counts(side, field.name)
             metric = F.coalesce(F.col("flag").cast("string"), F.lit("null"))
         elif isinstance(field.dataType, T.NumericType):
-            numbers = describe(side, field.name, rows, model.DESCRIBE_PERCENTILES)
-            out.append(_long(numbers, section, field.name))
+            out.append(_described(side, section, [field.name], rows, model.DESCRIBE_PERCENTILES))
             continue
         else:
             continue
@@ -194,13 +240,14 @@ def dataset_profile(
 ) -> DataFrame:
     """The whole profile as one long table (section, column_name, metric, value)."""
     n_cells, n_genes = cells.count(), genes.count()
-    parts = [_long(matrix_overview(cells, genes, expression), "matrix", "value")]
+    overview = matrix_overview(cells, genes, expression)
+    parts = [_long(overview, "matrix", F.lit("value"), {c: c for c in overview.columns})]
     for section, totals, rows in (
         ("cell", cell_totals(cells, expression), n_cells),
         ("gene", gene_totals(genes, expression), n_genes),
     ):
-        for column in ("total", "detected"):
-            parts.append(_long(describe(totals, column, rows), section, column))
+        columns = ("total", "detected")
+        parts.append(_described(totals, section, columns, rows, model.PROFILE_PERCENTILES))
     parts += _column_profile(cells, "cells", "cell_id", k, n_cells, domains or {})
     parts += _column_profile(genes, "genes", "gene_symbol", k, n_genes, domains or {})
     whole = parts[0]
