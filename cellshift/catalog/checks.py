@@ -260,9 +260,9 @@ def alert_stream(spark, sf):
     source, sink = shared_path(spark, "check-events"), shared_path(spark, "alerts")
     events.write.parquet(f"{source}/first")
     events.write.parquet(f"{source}/again")
-    stream = alerts.alert_stream(spark, f"{source}/*", events.schema)
-    alerts.write_stream(stream, sink, shared_path(spark, "alerts-cursor")).awaitTermination()
-    written = spark.read.schema(stream.schema).parquet(sink)
+    stream = alerts.check_event_stream(spark, f"{source}/*", events.schema)
+    alerts.deliver_alerts(stream, sink, shared_path(spark, "alerts-cursor")).awaitTermination()
+    written = spark.read.parquet(sink).drop("id_block")
     utc = F.to_timestamp_ntz(F.date_format(F.to_utc_timestamp("ts", F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return written.withColumn("ts", utc)
 

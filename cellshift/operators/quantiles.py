@@ -88,6 +88,8 @@ def values_at_ranks(
         .groupBy(*keys)
         .agg(F.collect_list("ask").alias("asks"))
     )
+    if keys == ["_all"]:
+        asks = F.broadcast(asks)  # one row
     counted = (
         data.join(asks, keys)
         .select(*keys, "_v", F.explode("asks").alias("a"))

@@ -10,8 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cellshift import model
 from cellshift.functions.text import alert_message, numbered_key
 from cellshift.operators.lineage import new_keys
-
-ALERT_LATENESS = "1 hour"
+from cellshift.plans.layout import table_or_empty
 
 
 def events_after(events: DataFrame, last_id: Column | int, limit: int = model.ALERT_FETCH_LIMIT) -> DataFrame:
@@ -49,28 +48,40 @@ def alert_log_line(alerts: DataFrame) -> DataFrame:
     )
 
 
-def alert_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 100
-) -> DataFrame:
-    """Alerts from event files as they arrive; an event delivered twice alerts once.
+def check_event_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Check events from files as they arrive."""
+    return spark.readStream.schema(schema).parquet(path)
+
+
+ALERT_BLOCK = 1_000_000  # storage ids per partition of the alert table
+
 
-    State holds the ids of the last hour of event time only.
+def deliver_alerts(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append an alert per failed check to a table, exactly once per storage id.
+
+    The alert table itself is the memory of what was sent: an event that is
+    delivered twice, arrives late or belongs to a batch that is retried after a
+    lost executor finds its alert there.  Nothing is dropped for being late and
+    no state grows with the stream.  Only the id blocks of the new events are
+    read back.
     """
-    events = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    )
-    once = events.withWatermark("ts", ALERT_LATENESS).dropDuplicatesWithinWatermark(["storage_id"])
-    return failed_check_alerts(once)
+    block = F.floor(F.col("storage_id") / F.lit(ALERT_BLOCK))
+    alerts = failed_check_alerts(events).withColumn("id_block", block)
+    schema = alerts.schema
 
+    def add(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(["storage_id"])
+        known = table_or_empty(batch.sparkSession, path, schema)
+        sent = known.join(batch.select("id_block").distinct(), "id_block", "left_semi")
+        fresh = fresh.join(sent.select("storage_id"), "storage_id", "left_anti")
+        fresh.select(*schema.names).write.mode("append").partitionBy("id_block").parquet(path)
 
-def write_stream(
-    stream: DataFrame, path: str, checkpoint: str, available_now: bool = True
-) -> StreamingQuery:
-    """Append a stream to parquet; the checkpoint is the cursor."""
-    writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+    return (
+        alerts.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def register_batch_keys(
@@ -87,7 +98,7 @@ def register_batch_keys(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        known = session.read.schema("batch_key string").parquet(registered_path)
+        known = table_or_empty(session, registered_path, "batch_key string")
         new_keys(batch, known, "batch_key").write.mode("append").parquet(registered_path)
 
     return (
