@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from cellshift.catalog import binding as b
 from cellshift.catalog.registry import query
 from cellshift.functions.vectors import l2_norm
-from cellshift.operators import compare, embed, perturb
+from cellshift.operators import compare, embed, perturb, quantiles
+from cellshift.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -214,7 +215,10 @@ def chain(spark, sf):
     baseline = embed.baseline_embeddings(cells, expression, b.DIM)
     changed = embed.changed_embeddings(delta, baseline, b.DIM)
     dist = compare.changed_distances(changed, cells, specs)
-    return compare.changed_summary(dist, baseline, cells, specs, cells.count())
+    n_cells = cells.count()
+    if n_cells > quantiles.BUFFER_ROWS:  # the summary then reads both several times
+        dist, baseline = stored(dist, "distances"), stored(baseline, "baseline")
+    return compare.changed_summary(dist, baseline, cells, specs, n_cells)
 
 
 @query("experiment_comparison", CHAIN_SQL)
