@@ -265,7 +265,7 @@ def compare_runs(
     ).select(*KEYS, "cell_id", "before", F.col("embedding").cast("array<double>").alias("after"))
     if source == "computed_from_input":
         dist = compare.changed_distances(pairs, dataset.cells, manifest)
-        _write_distances(path, dist)
+        tables.write_by_experiment(path, dist)
         dist = _read_distances(spark, path, dist, runs)
         summaries = compare.changed_summary(dist, _as_vector(own), dataset.cells, manifest, n_cells)
     else:
@@ -276,7 +276,7 @@ def compare_runs(
         rest = compare.resting_distances(_as_vector(own), _as_vector(base), dataset.cells)
         rest = stored(rest, "resting")
         dist = compare.changed_distances_to(pairs, _as_vector(base), rest, manifest)
-        _write_distances(path, dist)
+        tables.write_by_experiment(path, dist)
         dist = _read_distances(spark, path, dist, runs)
         summaries = resting_summary(dist, rest, manifest)
     records = gold.comparison_records(manifest, summaries)
@@ -289,16 +289,6 @@ def compare_runs(
     return source
 
 
-def _write_distances(path: str, dist: DataFrame) -> None:
-    (
-        dist.hint("rebalance", *KEYS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*KEYS)
-        .parquet(path)
-    )
-
-
 def _read_distances(spark: SparkSession, path: str, like: DataFrame, runs: DataFrame) -> DataFrame:
     return table_or_empty(spark, path, like.schema).join(runs.select("run_id"), "run_id", "left_semi")
 
@@ -379,15 +369,14 @@ def export_comparisons(spark: SparkSession, root: str, runs: DataFrame) -> None:
     index = tables.run_documents(records, "position", headers)
     _write_run_documents(place(root, "gold/compute/comparison_index"), index)
     distances = place(root, "silver/distances")
-    kind = "run_id string, experiment_id string"
-    if is_stored(spark, distances, kind):
+    if is_stored(spark, distances, "run_id string"):
         bundle = gold.distance_bundle(records, spark.read.parquet(distances))
-        _write_distances(place(root, "gold/compute/distances"), bundle)
+        tables.write_by_experiment(place(root, "gold/compute/distances"), bundle)
 
 
 def copy_runs(spark: SparkSession, source: str, target: str, runs: DataFrame) -> None:
     """Copy the partitions of the given runs unchanged; an absent source is skipped."""
-    if not is_stored(spark, source, "run_id string, experiment_id string"):
+    if not is_stored(spark, source, "run_id string"):
         return
     rows = spark.read.parquet(source).join(runs.select("run_id"), "run_id", "left_semi")
-    tables.write_embeddings(target, rows)
+    tables.write_by_experiment(target, rows)
