@@ -276,7 +276,7 @@ def vector_specs(spark: SparkSession, sf: str) -> DataFrame:
     )
     return (
         top.select(F.explode(listed).alias("s"))
-        .select(F.lit(RUN).alias("run_id"), "s.*")
+        .select(F.when(F.col("s.experiment_id") >= "exp", F.lit(RUN)).alias("run_id"), "s.*")
         .withColumn("perturbation_type", F.lit(model.PERTURBATION_TYPES[0]))
     )
 

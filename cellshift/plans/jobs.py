@@ -249,6 +249,7 @@ def compare_runs(
     cells; every other cell of a run rests where it is without any experiment.
     Returns the baseline source used.
     """
+    stored_runs = _require_headers(spark, place(root, "silver/runs"), runs, "runs without a manifest")
     own = baseline(spark, root, dataset, dim, model_name)
     base, source = choose_baseline(spark, baseline_path, own.schema, own)
     wrong = compare.baseline_width_problems(base, dim).where(~F.col("passed"))
@@ -281,7 +282,6 @@ def compare_runs(
         summaries = resting_summary(dist, rest, manifest)
     records = gold.comparison_records(manifest, summaries)
     tables.write_by_run(place(root, "silver/summaries"), records)
-    stored_runs = spark.read.parquet(place(root, "silver/runs"))
     headers = gold.comparison_manifest(records, stored_runs, source).join(
         runs.select("run_id", "comparison_token"), "run_id"
     )

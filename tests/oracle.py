@@ -8,7 +8,6 @@ import math
 import time
 from collections import Counter
 from decimal import Decimal
-from pathlib import Path
 
 import duckdb
 

@@ -197,6 +197,12 @@ def test_invalid_specs_stop_before_any_write(spark, dataset):
     assert not jobs.is_stored(spark, root + "/silver/embeddings", "run_id string")
 
 
+def test_incomplete_runs_are_not_compared(spark, dataset, root):
+    absent = spark.createDataFrame([("gene_knockout__none", "t")], "run_id string, comparison_token string")
+    with pytest.raises(ValueError, match="runs without a manifest"):
+        jobs.compare_runs(spark, root, dataset, absent, DIM)
+
+
 def test_unknown_model_is_refused(spark, dataset):
     with pytest.raises(ValueError, match="unsupported model"):
         jobs.run_types(spark, "/nowhere", dataset, fx.specs(spark), "c", DIM, "other_model")

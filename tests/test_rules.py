@@ -333,6 +333,18 @@ def test_checks_without_any_run_pass(spark, run):
     assert (row.passed, row.severity, row.n_runs) == (True, "WARN", 0)
 
 
+def test_freshness_of_the_standard_outputs(spark):
+    log = spark.sql(
+        "SELECT * FROM VALUES ('preview_data', TIMESTAMP '2024-01-01 00:00:00'),"
+        " ('preview_data', TIMESTAMP '2024-01-01 12:00:00'),"
+        " ('perturbation_run', TIMESTAMP '2024-01-01 12:00:00') AS t(asset, ts)"
+    )
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    got = {r.asset: r.passed for r in quality.freshness(log, quality.freshness_windows(spark), now).collect()}
+    assert got["preview_data"] is True and got["perturbation_run"] is False
+    assert got["synthetic_adata"] is False and len(got) == 6
+
+
 def test_long_runs_go_on_in_further_documents(spark, run):
     records = gold.ui_records(gold.manifest_records(run[0], run[1]))
     documents = tables.run_documents(records, "position", size=4).orderBy("part").collect()
