@@ -111,9 +111,12 @@ def changed_embeddings(
     """Vectors before and after, for the cells an experiment really changes.
 
     Every other cell keeps its baseline vector, so nothing is computed for it.
+    An experiment changes few genes of a cell, so summing before the shuffle would
+    only send wide vectors instead of narrow entries: entries are brought together
+    by cell first, which is also where the baseline is joined.
     """
     amount = F.log1p("new_value") - F.log1p("old_value")
-    effective = delta.where(F.col("new_value") != F.col("old_value"))
+    effective = delta.where(F.col("new_value") != F.col("old_value")).repartition("cell_id")
     change = _projected(effective, [*KEYS, "cell_id"], amount, dim, model_seed(model_name))
     return change.join(baseline.withColumnRenamed("vector", "before"), "cell_id").select(
         *KEYS, "cell_id", "before", vector_sum(F.col("before"), F.col("vector")).alias("after")
