@@ -136,13 +136,29 @@ def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     The document with the smallest doc_id stays; of several rows with that id the
     one with the smallest fingerprint, and one of those equal in both.
     """
-    own, kept, least = free_names(docs, "own_fp", "kept_id", "kept_fp")
+    own, named, number, kept_named, kept_number, least = free_names(
+        docs, "own_fp", "has_id", "id_number", "kept_has_id", "kept_number", "kept_fp"
+    )
+    # keys without nulls, so that the rows of a key stay where the join brought them
     heads = (
         classes.where(same(F.col("doc_id"), F.col("component_id")))
         .groupBy("root")
-        .agg(F.first("doc_id").alias(kept), F.min("fp").alias(least))
+        .agg(
+            F.first(F.col("doc_id").isNotNull()).alias(kept_named),
+            F.coalesce(F.first("doc_id"), F.lit(0)).alias(kept_number),
+            F.min("fp").alias(least),
+        )
         .drop("root")
     )
-    marked = docs.withColumn(own, simhash_of("text"))
-    found = marked.join(heads, same(F.col("doc_id"), F.col(kept)) & (F.col(own) == F.col(least)))
-    return found.dropDuplicates(["doc_id", own]).select(*docs.columns)
+    marked = (
+        docs.withColumn(own, simhash_of("text"))
+        .withColumn(named, F.col("doc_id").isNotNull())
+        .withColumn(number, F.coalesce("doc_id", F.lit(0)))
+    )
+    found = marked.join(
+        heads,
+        (F.col(named) == F.col(kept_named))
+        & (F.col(number) == F.col(kept_number))
+        & (F.col(own) == F.col(least)),
+    )
+    return found.dropDuplicates([named, number, own]).select(*docs.columns)

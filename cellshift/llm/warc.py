@@ -79,8 +79,9 @@ def _header(c: dict[str, Column]) -> Column:
 def write_archive(pages: DataFrame, path: str, smallest: int = 0) -> None:
     """Write ``payloads`` and ``records`` below ``path``.
 
-    Payloads travel once, by (address, page_id, url), so a payload that a third
-    of all pages share is no hot key; everything else works on short rows.
+    Payloads travel once, by the address and a hash of address, page_id and url, so
+    a payload that a third of all pages share is no hot key; everything else works
+    on short rows.
     """
     spark = pages.sparkSession
     own = pages.select(
@@ -126,17 +127,16 @@ def write_archive(pages: DataFrame, path: str, smallest: int = 0) -> None:
         "address", _header({}).alias("header")
     ).write.parquet(f"{path}/records")
 
+    # keys without nulls, so that the rows of a key stay where the join brought them
+    place = F.xxhash64("address", "page_id", "url").alias("place")
     named = firsts.select(
-        F.col("of"), F.col("first_id"), F.col("first_url")
+        F.col("of"),
+        F.xxhash64(F.col("of"), F.col("first_id"), F.col("first_url")).alias("first_place"),
     )
     (
-        own.join(
-            named,
-            (F.col("address") == F.col("of"))
-            & same(F.col("page_id"), F.col("first_id"))
-            & same(F.col("url"), F.col("first_url")),
-        )
-        .dropDuplicates(["address", "page_id", "url"])
+        own.select("address", place, "payload")
+        .join(named, (F.col("address") == F.col("of")) & (F.col("place") == F.col("first_place")))
+        .dropDuplicates(["address", "place"])
         .select("address", "payload")
         .write.option("compression", "zstd")
         .parquet(f"{path}/payloads")
