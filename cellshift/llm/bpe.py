@@ -10,6 +10,7 @@ The vocabulary file is named by the caller, read once on the driver and sent to
 the tasks as a broadcast value (a few megabytes, with a checked bound).
 """
 
+import heapq
 import json
 from collections.abc import Iterator
 from itertools import chain
@@ -21,10 +22,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 300_000
+CACHE = 500_000
 #: Texts are taken from a batch in runs of about so many characters, which bounds a task's memory.
 RUN = 4 << 20
+#: Words over so many bytes take the smallest rank from a heap; shorter ones are scanned.
+LONG = 255
 _NONE = 1 << 60
+_LEFT = [bytes([n]) for n in range(256)]  # lengths of left parts; no token is longer
 
 
 def byte_letters() -> dict[str, int]:
@@ -50,7 +54,9 @@ class Vocabulary:
         self.pairs = {}
         for rank, merge in enumerate(said["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.pairs[raw(left), raw(right)] = rank
+            # a pair is known by its joined bytes and the length of its left part
+            first = raw(left)
+            self.pairs[first + raw(right) + _LEFT[len(first)]] = rank
         self.bytes_of = [b""] * (1 + max(chain(vocab.values(), self.special.values())))
         for token, i in chain(self.ids.items(), ((s.encode(), i) for s, i in self.special.items())):
             self.bytes_of[i] = token
@@ -73,28 +79,62 @@ class _Merged(dict):
 
 def merge(word: bytes, vocabulary: Vocabulary) -> tuple[int, ...]:
     """The ids of one word."""
-    pairs, ids = vocabulary.pairs, vocabulary.ids
+    if len(word) > LONG:
+        return _merge_long(word, vocabulary)
+    ids = vocabulary.ids
+    look, left = vocabulary.pairs.get, _LEFT
     bounds = list(range(len(word) + 1))
-
-    def rank(at: int) -> int:
-        """Of the pair of parts that begins at boundary number ``at``."""
-        if at + 2 >= len(bounds):
-            return _NONE
-        a, b, c = bounds[at : at + 3]
-        return pairs.get((word[a:b], word[b:c]), _NONE)
-
-    ranks = [rank(at) for at in range(len(word))]
-    while len(ranks) > 1:
+    # ranks[n] is that of the pair of parts beginning at bounds[n]
+    one = left[1]
+    ranks = [look(word[n : n + 2] + one, _NONE) for n in range(len(word) - 1)]
+    while ranks:
         least = min(ranks)
         if least == _NONE:
             break
         at = ranks.index(least)
         del bounds[at + 1]
-        del ranks[at + 1]
-        ranks[at] = rank(at)
+        del ranks[at]
+        a, b = bounds[at], bounds[at + 1]
+        if at < len(ranks):
+            ranks[at] = look(word[a : bounds[at + 2]] + left[b - a], _NONE)
         if at:
-            ranks[at - 1] = rank(at - 1)
-    return tuple(ids[word[a:b]] for a, b in zip(bounds, bounds[1:], strict=False))
+            z = bounds[at - 1]
+            ranks[at - 1] = look(word[z:b] + left[a - z], _NONE)
+    return tuple([ids[word[a:b]] for a, b in zip(bounds, bounds[1:], strict=False)])
+
+
+def _merge_long(word: bytes, vocabulary: Vocabulary) -> tuple[int, ...]:
+    """The same for a long word: the smallest rank comes from a heap, not from a scan."""
+    ids, look, left = vocabulary.ids, vocabulary.pairs.get, _LEFT
+    size = len(word)
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+
+    def rank(a: int) -> int:
+        b = after[a]
+        if b >= size or b - a >= len(left):
+            return _NONE
+        return look(word[a : after[b]] + left[b - a], _NONE)
+
+    heap = [(r, a) for a in range(size) if (r := rank(a)) != _NONE]
+    heapq.heapify(heap)
+    gone = bytearray(size)
+    while heap:
+        r, a = heapq.heappop(heap)
+        if gone[a] or rank(a) != r:
+            continue  # one of the two parts has grown since
+        b = after[a]
+        gone[b] = 1
+        after[a] = after[b]
+        if after[b] < size:
+            before[after[b]] = a
+        for start in (a, before[a]):
+            if start >= 0 and (now := rank(start)) != _NONE:
+                heapq.heappush(heap, (now, start))
+    found, a = [], 0
+    while a < size:
+        found.append(ids[word[a : after[a]]])
+        a = after[a]
+    return tuple(found)
 
 
 def encode_text(text: str, merged: _Merged) -> list[int]:

@@ -49,19 +49,17 @@ class Model:
 def training_rows(docs: DataFrame, usable: Column) -> DataFrame:
     """lang, window, h: at most ``SLOTS`` rows a language, chosen by a hash of the id.
 
-    Slots and smallest hashes are found on ids and labels alone; only the texts
-    of the chosen rows are read for their window.
+    Slots and smallest hashes are found on ids and labels alone; of the texts only
+    windows travel.
     """
-    keyed = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     h = F.xxhash64(F.col("doc_id"), F.lit("language"))
-    keyed = keyed.select("lang", "text", h.alias("h")).withColumn("slot", F.pmod(F.col("h"), F.lit(SLOTS)))
-    chosen = keyed.groupBy(F.col("lang").alias("of"), "slot").agg(F.min("h").alias("least"))
-    offset = F.pmod(
-        F.xxhash64("h"), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))
-    )
+    offset = F.pmod(F.xxhash64(h), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1)))
     window = F.substr(F.col("text"), (offset + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    keyed = known.select("lang", h.alias("h"), F.pmod(h, F.lit(SLOTS)).alias("slot"), window.alias("window"))
+    chosen = keyed.groupBy(F.col("lang").alias("of"), "slot").agg(F.min("h").alias("least"))
     found = keyed.join(chosen.drop("slot"), (F.col("lang") == F.col("of")) & (F.col("h") == F.col("least")))
-    return found.groupBy("lang", "h").agg(F.min(window).alias("window"))  # rows repeated under an id
+    return found.groupBy("lang", "h").agg(F.min("window").alias("window"))  # rows repeated under an id
 
 
 def _windows(texts: list[bytes], width: int) -> np.ndarray:
