@@ -27,6 +27,7 @@ UNITS = 8
 STEPS = 128
 WINDOW = 256
 EPOCHS = 8
+LEAST_STEPS = 200  # few rows are gone through more often
 BATCH = 96
 RATE = 0.02
 SLAB = 2048  # windows read side by side
@@ -104,8 +105,9 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     wanted = np.array([labels.index(lang) for lang, _ in rows])
     parameters = [model.byte, model.state, model.out, model.bias]
     first, second, step = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters], 0
-    rounds = max(1, EPOCHS * -(-len(rows) // BATCH))
-    for _ in range(EPOCHS):
+    batches = -(-len(rows) // BATCH)
+    rounds = max(EPOCHS * batches, LEAST_STEPS)
+    while step < rounds:
         order = random.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
             part = order[at : at + BATCH]
