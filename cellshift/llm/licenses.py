@@ -86,10 +86,10 @@ def bands(window: Column) -> Column:
     """One value for each band of the MinHash signature of an array of hashes."""
 
     def band(w: Column, nth: Column) -> Column:
-        smallest = [
-            F.array_min(F.transform(w, lambda h, r=r: F.xxhash64(h, nth * ROWS + r))) for r in range(ROWS)
-        ]
-        return F.xxhash64(nth, *smallest)
+        def smallest(row: int) -> Column:
+            return F.array_min(F.transform(w, lambda h: F.xxhash64(h, nth * ROWS + row)))
+
+        return F.xxhash64(nth, *[smallest(row) for row in range(ROWS)])
 
     return bound(
         window, lambda w: F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda nth: band(w, nth))
