@@ -31,6 +31,7 @@ LEAST_STEPS = 200  # few rows are gone through more often
 BATCH = 96
 RATE = 0.02
 SLAB = 2048  # windows read side by side
+RUN = 2 << 20  # characters of a batch held as bytes at a time
 PAD = 256
 _CLOSED = -60.0  # an update gate this low leaves the state as it is
 _letter = re.compile(r"[^\W\d_]")
@@ -219,16 +220,27 @@ def predictor(model: Model):
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            known = [bool(t) and _letter.search(t) is not None for t in texts]
-            raw = [t.encode("utf-8", "surrogatepass") if k else b"" for t, k in zip(texts, known, strict=True)]
-            if model.labels:
-                p = probabilities(model, raw)
-                best = p.argmax(axis=1)
-                lang = [model.labels[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-                score = np.where(known, np.clip(p.max(axis=1), 0, 1), 0.0)
-            else:
-                lang, score = [UNKNOWN] * len(raw), np.zeros(len(raw))
-            yield pd.DataFrame({"lang": lang, "score": score})
+            lang, score = [], []
+            at = 0
+            while at < len(texts):  # a few megabytes at a time
+                stop, held = at, 0
+                while stop < len(texts) and (stop == at or held + len(texts.iat[stop] or "") <= RUN):
+                    held += len(texts.iat[stop] or "")
+                    stop += 1
+                said, sure = told(texts.iloc[at:stop])
+                lang += said
+                score += sure
+                at = stop
+            yield pd.DataFrame({"lang": lang, "score": np.array(score, dtype=float)})
+
+    def told(texts: pd.Series) -> tuple[list[str], list[float]]:
+        known = [bool(t) and _letter.search(t) is not None for t in texts]
+        if not model.labels:
+            return [UNKNOWN] * len(known), [0.0] * len(known)
+        raw = [t.encode("utf-8", "surrogatepass") if k else b"" for t, k in zip(texts, known, strict=True)]
+        p = probabilities(model, raw)
+        lang = [model.labels[b] if k else UNKNOWN for b, k in zip(p.argmax(axis=1), known, strict=True)]
+        return lang, np.where(known, np.clip(p.max(axis=1), 0, 1), 0.0).tolist()
 
     return predict
 
