@@ -161,9 +161,9 @@ def describe_columns(
 
 
 def size_factors(totals: DataFrame, rows: int) -> DataFrame:
-    """Each cell's total divided by the median total."""
+    """Each cell's total divided by the median total; null where the median is 0."""
     median = quantiles.percentiles(totals, [], "total", [0.5], ["median"], rows)
-    return totals.select("cell_id", (F.col("total") / median.scalar()).alias("size_factor"))
+    return totals.select("cell_id", F.try_divide(F.col("total"), median.scalar()).alias("size_factor"))
 
 
 def with_effects(df: DataFrame, effects: dict[str, DataFrame], name: str = "effect") -> DataFrame:
