@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellshift.llm.common import small_batches
+
 CACHE = 500_000
 #: Texts are taken from a batch in runs of about so many characters, which bounds a task's memory.
 RUN = 4 << 20
@@ -180,6 +182,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     has no ids.  Repeated rows return a row each; an empty table returns none.
     Texts of any length are taken whole.
     """
+    small_batches(docs.sparkSession)
     sent = _file(docs.sparkSession, path)
     columns = docs.select("doc_id", "text")
     id_type = columns.schema["doc_id"].dataType
@@ -213,6 +216,7 @@ def decoded(tokens: DataFrame, path: str, pattern: str, name: str = "decoded") -
 
     Null ids have a null text; an id outside the vocabulary is left out.
     """
+    small_batches(tokens.sparkSession)
     sent = _file(tokens.sparkSession, path)
 
     @F.pandas_udf("string")

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellshift.llm.common import small_batches
+
 UNKNOWN = "und"
 SLOTS = 384
 SAMPLE_CHARS = 192
@@ -262,4 +264,5 @@ def identified(docs: DataFrame, model: Model, name: str = "language") -> DataFra
     language of the largest mean probability; ties go to the first in order.
     Repeated rows are read one by one; other columns pass through untouched.
     """
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, predictor(model)("text"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellshift.llm.common import WORD, free_names, same
+from cellshift.llm.common import WORD, free_names, same, small_batches, text_or_empty
 from cellshift.llm.components import components
 from cellshift.session import stored
 
@@ -113,6 +113,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component of null ids alone has a null component_id.  A null or blank text has
     fingerprint zero.  Repeated rows return a row each.
     """
+    small_batches(docs.sparkSession)
     base = stored(docs.select("doc_id", simhash_of("text").alias("fp")), "simhash")
     members = stored(base.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-members")
     found = stored(components(links(members)), "simhash-components")
