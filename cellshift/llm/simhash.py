@@ -106,15 +106,17 @@ def links(fingerprints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id, root for every row of ``docs`` (doc_id, text; others are not read).
+    """doc_id, fp, digest, component_id, root for every row of ``docs`` (doc_id, text; others are not read).
 
     component_id is the smallest doc_id that can be reached over links, the
     document's own included; null ids are not smaller than any other, and a
     component of null ids alone has a null component_id.  A null or blank text has
-    fingerprint zero.  Repeated rows return a row each.
+    fingerprint zero.  digest is the MD5 of the text, which tells rows with one id
+    apart.  Repeated rows return a row each.
     """
     small_batches(docs.sparkSession)
-    base = stored(docs.select("doc_id", simhash_of("text").alias("fp")), "simhash")
+    digest = F.md5(text_or_empty("text"))
+    base = stored(docs.select("doc_id", simhash_of("text").alias("fp"), digest.alias("digest")), "simhash")
     members = stored(base.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-members")
     found = stored(components(links(members)), "simhash-components")
     rooted = members.join(found, F.col("fp") == F.col("node"), "left").withColumn(
@@ -128,17 +130,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rooted.join(ids, F.col("root") == F.col("of")).select("own", "component_id", "root"),
         "simhash-classes",
     )
-    return base.join(classes, F.col("fp") == F.col("own")).select("doc_id", "fp", "component_id", "root")
+    return base.join(classes, F.col("fp") == F.col("own")).select(
+        "doc_id", "fp", "digest", "component_id", "root"
+    )
 
 
 def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """One document of each component, with the columns of ``docs``.
 
     The document with the smallest doc_id stays; of several rows with that id the
-    one with the smallest fingerprint, and one of those equal in both.
+    one with the smallest digest, and one of those equal in both.  ``classes`` is
+    what ``near_duplicates`` returned for ``docs``.
     """
     own, named, number, kept_named, kept_number, least = free_names(
-        docs, "own_fp", "has_id", "id_number", "kept_has_id", "kept_number", "kept_fp"
+        docs, "own_digest", "has_id", "id_number", "kept_has_id", "kept_number", "kept_digest"
     )
     # keys without nulls, so that the rows of a key stay where the join brought them
     heads = (
@@ -147,12 +152,12 @@ def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
         .agg(
             F.first(F.col("doc_id").isNotNull()).alias(kept_named),
             F.coalesce(F.first("doc_id"), F.lit(0)).alias(kept_number),
-            F.min("fp").alias(least),
+            F.min("digest").alias(least),
         )
         .drop("root")
     )
     marked = (
-        docs.withColumn(own, simhash_of("text"))
+        docs.withColumn(own, F.md5(text_or_empty("text")))
         .withColumn(named, F.col("doc_id").isNotNull())
         .withColumn(number, F.coalesce("doc_id", F.lit(0)))
     )
