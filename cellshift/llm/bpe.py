@@ -175,9 +175,22 @@ def _file(spark, path: str):
     return spark.sparkContext.broadcast(text)
 
 
-def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def text_of(ids: list[int], table: list[bytes]) -> str:
+    """The text of ``ids``; invalid UTF-8 becomes replacement characters, unknown ids are left out."""
+    try:
+        joined = b"".join(map(table.__getitem__, ids))
+    except IndexError:
+        last = len(table)
+        joined = b"".join(table[i] for i in ids if 0 <= i < last)
+    return joined.decode("utf-8", "replace")
+
+
+def encoded(docs: DataFrame, path: str, pattern: str, back: bool = False) -> DataFrame:
     """doc_id, ids for every row of ``docs`` (doc_id, text; others are not read).
 
+    With ``back`` also decoded, the text decoded from ids, in the same pass: one
+    worker a task holds the vocabulary, and ids do not travel to a second one.
+
     Special tokens of the file are recognised in texts.  A null text is empty and
     has no ids.  Repeated rows return a row each; an empty table returns none.
     Texts of any length are taken whole.
@@ -188,13 +201,17 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     id_type = columns.schema["doc_id"].dataType
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merged = _tokenizer(sent.value, pattern)[1]
+        vocabulary, merged = _tokenizer(sent.value, pattern)
+        table = vocabulary.bytes_of
 
         def batch(keys: pa.Array, lists: list[np.ndarray]) -> pa.RecordBatch:
             ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
             flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            return pa.RecordBatch.from_arrays([keys, ids], names=["doc_id", "ids"])
+            columns = {"doc_id": keys, "ids": ids}
+            if back:
+                columns["decoded"] = pa.array([text_of(i.tolist(), table) for i in lists], pa.string())
+            return pa.RecordBatch.from_pydict(columns)
 
         for rows in batches:
             texts, lists, begin, held = rows.column("text"), [], 0, 0
@@ -208,7 +225,8 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             if lists:
                 yield batch(rows.column("doc_id").slice(begin), lists)
 
-    return columns.mapInArrow(encode, f"doc_id {id_type.simpleString()}, ids array<int>")
+    shape = f"doc_id {id_type.simpleString()}, ids array<int>" + ", decoded string" * back
+    return columns.mapInArrow(encode, shape)
 
 
 def decoded(tokens: DataFrame, path: str, pattern: str, name: str = "decoded") -> DataFrame:
@@ -222,19 +240,7 @@ def decoded(tokens: DataFrame, path: str, pattern: str, name: str = "decoded") -
     @F.pandas_udf("string")
     def decode(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = _tokenizer(sent.value, pattern)[0].bytes_of
-        last = len(table)
-
-        def text(ids) -> str | None:
-            if ids is None:
-                return None
-            listed = ids.tolist()
-            try:
-                joined = b"".join(map(table.__getitem__, listed))
-            except IndexError:
-                joined = b"".join(table[i] for i in listed if 0 <= i < last)
-            return joined.decode("utf-8", "replace")
-
         for batch in lists:
-            yield pd.Series([text(ids) for ids in batch], dtype=object)
+            yield pd.Series([None if i is None else text_of(i.tolist(), table) for i in batch], dtype=object)
 
     return tokens.withColumn(name, decode("ids"))

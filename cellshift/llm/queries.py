@@ -53,8 +53,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    tokens = bpe.encoded(docs, path, public_tokenizers.PATTERN)
-    return bpe.decoded(tokens, path, public_tokenizers.PATTERN).select(
+    return bpe.encoded(docs, path, public_tokenizers.PATTERN, back=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
