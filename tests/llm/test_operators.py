@@ -166,6 +166,9 @@ def test_bpe_equals_the_library_and_comes_back(spark):
         text = texts[r["doc_id"]] or ""
         ids = library.encode(text, add_special_tokens=False).ids
         assert r["ids"] == ids and r["decoded"] == library.decode(ids, skip_special_tokens=False)
+    at_once = bpe.encoded(df, path, public_tokenizers.PATTERN, back=True)
+    twice = bpe.decoded(tokens, path, public_tokenizers.PATTERN)
+    assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, twice.collect()))
 
 
 def test_long_words_merge_like_short_ones():
