@@ -62,8 +62,8 @@ def deliver_alerts(events: DataFrame, path: str, checkpoint: str) -> StreamingQu
     The alert table itself is the memory of what was sent: an event that is
     delivered twice, arrives late or belongs to a batch that is retried after a
     lost executor finds its alert there.  Nothing is dropped for being late and
-    no state grows with the stream.  Only the id blocks of the new events are
-    read back.
+    no state grows with the stream.  Only the id blocks from the
+    batch's smallest to its largest are read back.
     """
     block = F.floor(F.col("storage_id") / F.lit(ALERT_BLOCK))
     alerts = failed_check_alerts(events).withColumn("id_block", block)
@@ -72,6 +72,10 @@ def deliver_alerts(events: DataFrame, path: str, checkpoint: str) -> StreamingQu
     def add(batch: DataFrame, batch_id: int) -> None:
         fresh = batch.dropDuplicates(["storage_id"])
         known = table_or_empty(batch.sparkSession, path, schema)
+        # two numbers of the batch; a comparison prunes folders, the join alone would not
+        first, last = batch.select(F.min("id_block"), F.max("id_block")).first()
+        if first is not None:
+            known = known.where(F.col("id_block").between(first, last))
         sent = known.join(batch.select("id_block").distinct(), "id_block", "left_semi")
         fresh = fresh.join(sent.select("storage_id"), "storage_id", "left_anti")
         fresh.select(*schema.names).write.mode("append").partitionBy("id_block").parquet(path)
