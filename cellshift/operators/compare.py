@@ -1,6 +1,6 @@
 """Distances between perturbed and baseline vectors, and their summaries."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellshift.functions.vectors import cosine_distance
@@ -26,6 +26,27 @@ def missing_embeddings(experiments: DataFrame, perturbed: DataFrame) -> DataFram
     return experiments.select(*KEYS).join(present, KEYS, "left_anti")
 
 
+def lost_vectors(manifest: DataFrame, changed: DataFrame, cells: DataFrame) -> DataFrame:
+    """Experiments whose stored vectors are not ``n_changed`` many, all of known cells."""
+    known = cells.select("cell_id", F.lit(1).alias("_known"))
+    counted = (
+        changed.select(*KEYS, "cell_id")
+        .join(known, "cell_id", "left")
+        .groupBy(*KEYS)
+        .agg(F.count(F.lit(1)).alias("n_stored"), F.count("_known").alias("n_known"))
+    )
+    found = manifest.join(counted, KEYS, "left").fillna(0, ["n_stored", "n_known"])
+    right = F.col("n_stored").eqNullSafe(F.col("n_changed")) & (F.col("n_known") == F.col("n_stored"))
+    return found.where(~right).select(*KEYS, "n_changed", "n_stored", "n_known")
+
+
+def of_width(vector: str, dim: int) -> Column:
+    """The vector as doubles; one of another width stops the job."""
+    width = F.size(vector)
+    said = F.concat(F.lit(f"expected vectors of width {dim}, got "), width.cast("string"))
+    return F.when(width == dim, F.col(vector).cast("array<double>")).otherwise(F.raise_error(said))
+
+
 def shape_problems(perturbed: DataFrame, baseline: DataFrame) -> DataFrame:
     """Experiments whose cells or widths differ from the baseline's.
 

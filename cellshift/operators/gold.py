@@ -43,6 +43,12 @@ def manifest_records(specs: DataFrame, cells: DataFrame) -> DataFrame:
     )
 
 
+def with_changed_counts(manifest: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Add ``n_changed``, the number of cells each experiment changes; none is 0."""
+    counted = vectors.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_changed"))
+    return manifest.join(counted, KEYS, "left").fillna(0, ["n_changed"])
+
+
 def experiment_metadata(specs: DataFrame, cells: DataFrame, dim: int) -> DataFrame:
     """The per-experiment record: the spec as it was applied, shape and cohort."""
     spec_fields = [f.name for f in model.SPEC_ENTRY.fields if f.name in specs.columns]

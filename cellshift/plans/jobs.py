@@ -16,7 +16,7 @@ from cellshift.functions.text import normalized_label
 from cellshift.operators import compare, embed, gold, lineage, perturb, specs as sp
 from cellshift.operators.resting import resting_summary
 from cellshift.operators.specs import KEYS
-from cellshift.plans.layout import choose_baseline, is_stored, place, table_or_empty
+from cellshift.plans.layout import choose_baseline, is_stored, of_runs, place, table_or_empty
 from cellshift.session import stored
 from cellshift.sources import tables
 
@@ -85,7 +85,8 @@ def run_experiments(
 
     ``specs`` carries ``run_id``; ``runs`` has ``run_id, token``.  Everything is
     checked before the first write.  Vectors are stored for the cells an
-    experiment changes; every other cell keeps its baseline vector.
+    experiment changes; every other cell keeps its baseline vector.  The records
+    say how many those are, so that a lost vector is not taken for an unchanged cell.
     """
     if declared is not None:
         sp.require_none(sp.unsupported_types(declared), "unsupported perturbation types")
@@ -96,9 +97,11 @@ def run_experiments(
     delta = perturb.delta_table(numbered, dataset.cells, dataset.genes, dataset.expression)
     changed = embed.changed_embeddings(delta, base, dim, model_name)
     vectors = changed.select(*KEYS, "cell_id", F.col("after").alias("embedding"))
-    tables.write_embeddings(place(root, "silver/embeddings"), vectors)
+    path = place(root, "silver/embeddings")
+    tables.write_embeddings(path, vectors)
+    written = of_runs(table_or_empty(spark, path, "run_id string, experiment_id string"), runs)
     manifest = gold.manifest_records(numbered, dataset.cells)
-    tables.write_by_run(place(root, "silver/experiments"), manifest)
+    tables.write_by_run(place(root, "silver/experiments"), gold.with_changed_counts(manifest, written))
     headers = gold.run_manifest(numbered, dataset.cells, dataset.genes).join(
         runs.select("run_id", "token"), "run_id"
     )
@@ -111,7 +114,7 @@ def run_experiments(
 def manifest_of(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
     """Stored records of the given runs."""
     path = place(root, "silver/experiments")
-    return spark.read.parquet(path).join(runs.select("run_id"), "run_id", "left_semi")
+    return of_runs(spark.read.parquet(path), runs)
 
 
 def embeddings_of(
@@ -256,14 +259,15 @@ def compare_runs(
     sp.require_none(wrong, f"baseline vectors must be {dim} wide")
     manifest = stored(manifest_of(spark, root, runs), "manifest")
     schema = "run_id string, experiment_id string, " + _vector_schema(dataset)
-    changed = table_or_empty(spark, place(root, "silver/embeddings"), schema).join(
-        runs.select("run_id"), "run_id", "left_semi"
+    changed = of_runs(table_or_empty(spark, place(root, "silver/embeddings"), schema), runs)
+    sp.require_none(
+        compare.lost_vectors(manifest, changed, dataset.cells), "stored vectors are not those of the run"
     )
     path = place(root, "silver/distances")
     n_cells = dataset.cells.count()
     pairs = changed.join(
         own.select("cell_id", F.col("embedding").cast("array<double>").alias("before")), "cell_id"
-    ).select(*KEYS, "cell_id", "before", F.col("embedding").cast("array<double>").alias("after"))
+    ).select(*KEYS, "cell_id", "before", compare.of_width("embedding", dim).alias("after"))
     if source == "computed_from_input":
         dist = compare.changed_distances(pairs, dataset.cells, manifest)
         tables.write_by_experiment(path, dist)
@@ -290,7 +294,7 @@ def compare_runs(
 
 
 def _read_distances(spark: SparkSession, path: str, like: DataFrame, runs: DataFrame) -> DataFrame:
-    return table_or_empty(spark, path, like.schema).join(runs.select("run_id"), "run_id", "left_semi")
+    return of_runs(table_or_empty(spark, path, like.schema), runs)
 
 
 def compare_incrementally(
@@ -341,7 +345,7 @@ def _write_run_documents(path: str, documents: DataFrame) -> None:
 def _require_headers(spark: SparkSession, path: str, runs: DataFrame, what: str) -> DataFrame:
     headers = table_or_empty(spark, path, "run_id string")
     sp.require_none(runs.select("run_id").join(headers, "run_id", "left_anti"), what)
-    return spark.read.parquet(path).join(runs.select("run_id"), "run_id", "left_semi")
+    return of_runs(spark.read.parquet(path), runs)
 
 
 def export_experiments(spark: SparkSession, root: str, runs: DataFrame) -> None:
@@ -361,9 +365,7 @@ def export_comparisons(spark: SparkSession, root: str, runs: DataFrame) -> None:
     headers = _require_headers(
         spark, place(root, "silver/comparisons"), runs, "runs without a comparison manifest"
     )
-    records = spark.read.parquet(place(root, "silver/summaries")).join(
-        runs.select("run_id"), "run_id", "left_semi"
-    )
+    records = of_runs(spark.read.parquet(place(root, "silver/summaries")), runs)
     cards = tables.run_documents(gold.comparison_cards(records), "position")
     _write_run_documents(place(root, "gold/ui/comparison_cards"), cards)
     index = tables.run_documents(records, "position", headers)
@@ -378,5 +380,4 @@ def copy_runs(spark: SparkSession, source: str, target: str, runs: DataFrame) ->
     """Copy the partitions of the given runs unchanged; an absent source is skipped."""
     if not is_stored(spark, source, "run_id string"):
         return
-    rows = spark.read.parquet(source).join(runs.select("run_id"), "run_id", "left_semi")
-    tables.write_by_experiment(target, rows)
+    tables.write_by_experiment(target, of_runs(spark.read.parquet(source), runs))

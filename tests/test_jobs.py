@@ -6,8 +6,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from cellshift.operators import compare, embed, quantiles, specs as sp
+from cellshift.operators import compare, embed, quality, quantiles, specs as sp
 from cellshift.plans import jobs
+from cellshift.plans.layout import of_runs
 from cellshift.session import shared_path
 from tests import fixtures as fx
 
@@ -203,6 +204,55 @@ def test_incomplete_runs_are_not_compared(spark, dataset, root):
         jobs.compare_runs(spark, root, dataset, absent, DIM)
 
 
+def broken_copy(spark, root, vectors):
+    """A finished root with other stored vectors."""
+    copy = shared_path(spark, "broken")
+    for name in ("runs", "experiments"):
+        df = spark.read.parquet(f"{root}/silver/{name}")
+        df.write.partitionBy("run_id").parquet(f"{copy}/silver/{name}")
+    if vectors is not None:
+        vectors.write.partitionBy("run_id").parquet(f"{copy}/silver/embeddings")
+    return copy
+
+
+@pytest.mark.parametrize("loss", ["all", "one", "unknown_cell", "width"])
+def test_lost_or_wrong_vectors_are_not_compared(spark, dataset, root, loss):
+    whole = spark.read.parquet(f"{root}/silver/embeddings")
+    first = whole.orderBy("run_id", "experiment_id", "cell_id").first()
+    hit = (F.col("run_id") == first.run_id) & (F.col("experiment_id") == first.experiment_id)
+    hit &= F.col("cell_id") == first.cell_id
+    vectors = {
+        "all": None,
+        "one": whole.where(~hit),
+        "unknown_cell": whole.withColumn("cell_id", F.when(hit, "cell_none").otherwise(F.col("cell_id"))),
+        "width": whole.withColumn("embedding", F.when(hit, F.slice("embedding", 1, 3)).otherwise(F.col("embedding"))),
+    }[loss]
+    copy = broken_copy(spark, root, vectors)
+    runs = spark.read.parquet(f"{copy}/silver/runs").select("run_id", F.lit("t").alias("comparison_token"))
+    with pytest.raises(Exception, match="stored vectors are not those|expected vectors of width"):
+        jobs.compare_runs(spark, copy, dataset, runs, DIM)
+    assert not jobs.is_stored(spark, copy + "/silver/comparisons", "run_id string")
+
+
+def test_checks_pass_on_stored_runs(spark, root):
+    manifest = spark.read.parquet(f"{root}/silver/experiments")
+    vectors = spark.read.parquet(f"{root}/silver/embeddings")
+    assert manifest.where("n_changed = 0").count() > 0
+    assert manifest.agg(F.sum("n_changed")).first()[0] == vectors.count()
+    row = quality.embedding_shape_check(manifest, vectors, DIM).first()
+    assert row.passed and row.failures_count == 0
+    lost = quality.embedding_shape_check(manifest, vectors.limit(0), DIM).first()
+    assert lost.failures_count == manifest.where("n_changed > 0").count()
+
+
+def test_only_the_runs_asked_for_are_read(spark, root):
+    path = shared_path(spark, "wanted")
+    spark.read.parquet(f"{root}/silver/runs").select("run_id").limit(1).write.parquet(path)
+    rows = of_runs(spark.read.parquet(f"{root}/silver/embeddings"), spark.read.parquet(path))
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.select("run_id").distinct().count() <= 1
+
+
 def test_unknown_model_is_refused(spark, dataset):
     with pytest.raises(ValueError, match="unsupported model"):
         jobs.run_types(spark, "/nowhere", dataset, fx.specs(spark), "c", DIM, "other_model")
