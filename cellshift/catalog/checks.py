@@ -81,8 +81,7 @@ WITH s AS (
 lost AS (
   SELECT result_set || ':' || f AS missing FROM s,
     LATERAL (SELECT unnest(CASE event_type WHEN 'error' THEN ['median_distance', 'n_target_cells']
-      WHEN 'view' THEN ['experiment_id'] ELSE [] END) AS f)
-  WHERE place <= 20)"""
+      WHEN 'view' THEN ['experiment_id'] ELSE [] END) AS f))"""
 
 
 def _summaries(spark, sf):
@@ -108,7 +107,7 @@ def _summaries(spark, sf):
 
 @query("summary_fields_missing", SUMMARIES_SQL + "SELECT missing FROM lost")
 def summary_fields_missing(spark, sf):
-    return quality.missing_summary_fields(_summaries(spark, sf), "result_set", "event_id", "summary")
+    return quality.missing_summary_fields(_summaries(spark, sf), "result_set", "summary")
 
 
 @query(
@@ -120,7 +119,7 @@ SELECT (SELECT count(DISTINCT result_set) FROM s) AS n_result_sets, (SELECT coun
   count(*) = 0 AS passed, 'ERROR' AS severity FROM lost""",
 )
 def comparison_manifest_check(spark, sf):
-    check = quality.comparison_manifest_check(_summaries(spark, sf), "result_set", "event_id", "summary")
+    check = quality.comparison_manifest_check(_summaries(spark, sf), "result_set", "summary")
     return check.withColumn("missing_fields_sample", F.array_join("missing_fields_sample", ";"))
 
 
@@ -130,7 +129,7 @@ def comparison_manifest_check(spark, sf):
 )
 def first_per_result_set(spark, sf):
     rows = _summaries(spark, sf).select("result_set", "event_id")
-    return quality.first_per_set(rows, "result_set", "event_id")
+    return quality.first_per_set(rows, "result_set", "event_id", 20)
 
 
 @query(

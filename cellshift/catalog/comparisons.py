@@ -172,12 +172,13 @@ def value_sums(genes, values):
     "user_model_embeddings",
     b.with_sql(b.MATRIX_SQL)
     + """
-SELECT cell_id, sum(value)::BIGINT AS value_sum, max(value)::BIGINT AS value_max,
-  count(*) AS n, sum(gene_symbol % 97)::BIGINT AS gene_sum
-FROM expression GROUP BY 1""",
+SELECT c.c_custkey AS cell_id, coalesce(sum(value), 0)::BIGINT AS value_sum,
+  coalesce(max(value), 0)::BIGINT AS value_max,
+  count(value) AS n, coalesce(sum(gene_symbol % 97), 0)::BIGINT AS gene_sum
+FROM customer c LEFT JOIN expression e ON e.cell_id = c.c_custkey GROUP BY 1""",
 )
 def user_model_embeddings(spark, sf):
-    out = embed.embed_with(b.expression(spark, sf), ["cell_id"], value_sums, 4)
+    out = embed.embed_with(b.expression(spark, sf), ["cell_id"], value_sums, 4, b.cells(spark, sf))
     names = ("value_sum", "value_max", "n", "gene_sum")
     return out.select(
         "cell_id", *[F.col("embedding")[i].cast("bigint").alias(n) for i, n in enumerate(names)]

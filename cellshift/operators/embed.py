@@ -130,12 +130,14 @@ Model = Callable[[Sequence[np.ndarray], Sequence[np.ndarray]], np.ndarray]
 
 
 def embed_with(
-    matrix: DataFrame, keys: Sequence[str], fn: Model, dim: int
+    matrix: DataFrame, keys: Sequence[str], fn: Model, dim: int, rows_of: DataFrame | None = None
 ) -> DataFrame:
     """Run ``fn`` over the cells of a matrix, Arrow batch by Arrow batch.
 
     ``matrix`` holds ``keys, gene_symbol, value``.  A row of the matrix is
     gathered into two arrays; its length is bounded by the number of genes.
+    ``rows_of`` has the ``keys`` of every row there is: one without an entry gets
+    empty arrays.  Without it only rows with entries have a vector.
     """
     keys = list(keys)
     entry = F.struct("gene_symbol", F.col("value").cast("double").alias("value"))
@@ -144,6 +146,12 @@ def embed_with(
         .agg(F.array_sort(F.collect_list(entry)).alias("e"))
         .select(*keys, F.col("e.gene_symbol").alias("genes"), F.col("e.value").alias("values"))
     )
+    if rows_of is not None:
+        kinds = rows.schema
+        empty = {n: F.array().cast(kinds[n].dataType) for n in ("genes", "values")}
+        rows = rows_of.select(*keys).join(rows, keys, "left").select(
+            *keys, *[F.coalesce(n, v).alias(n) for n, v in empty.items()]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -373,3 +373,20 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         path(Session(), "x")
+
+
+def test_a_field_missing_late_in_a_set_is_seen(spark):
+    whole = {f: 1 for f in model.REQUIRED_SUMMARY_FIELDS}
+    short = {f: 1 for f in model.REQUIRED_SUMMARY_FIELDS[1:]}
+    rows = [("a", json.dumps(short if i == 59 else whole)) for i in range(60)]
+    row = quality.comparison_manifest_check(spark.createDataFrame(rows, "s string, j string"), "s", "j").first()
+    assert (row.n_experiments, row.n_missing, row.passed) == (60, 1, False)
+
+
+def test_user_model_sees_cells_without_entries(spark):
+    counts = lambda genes, values: [[len(g), float(sum(v))] for g, v in zip(genes, values)]
+    some = fx.expression(spark).where("cell_id <> 'cell_000003'")
+    out = embed.embed_with(some, ["cell_id"], counts, 2, fx.cells(spark))
+    got = {r.cell_id: list(r.embedding) for r in out.collect()}
+    assert len(got) == 12
+    assert got["cell_000003"] == [0.0, 0.0]
