@@ -9,14 +9,19 @@ random hyperplane orders.  Lists of nodes that many others point to are compared
 in chunks of ``CHUNK``, in another order each round, so no list is ever gathered
 whole and none is cut.  Rounds stop when few lists change.
 
+Two graphs are built.  One evens out norms and so keeps its shape where norms
+differ; the other takes plain inner products, so that a node's list leads at once
+to the longest vectors of its region, which all members of a group of near copies
+look for.
+
 Searching.  A query starts with its own neighbours and expands the best
-``POOL`` nodes it knows along edges in both directions, round by round, until
-all of them are expanded.
+``POOL`` nodes it knows along edges of the first graph in both directions and
+of the second in one, round by round, until all of them are expanded.
 
-Nodes travel as codes of one byte per component (scaled for each vector), with a
-further component that evens out norms, so that the graph stays useful where
-norms differ.  The final order comes from exact inner products in double
-precision on the original vectors.
+For the graphs nodes travel in single precision, with a further component that
+evens out norms; they are compared in double precision, as near copies differ in the last digits only.  The
+search and the final order use inner products of the original vectors in double
+precision.
 """
 
 from collections.abc import Iterator
@@ -87,38 +92,28 @@ def inner(a: Column, b: Column) -> Column:
     return F.aggregate(products, zero, lambda s, x: s + x)
 
 
-def _codes(vectors: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """One byte per component, and the factor that gives the vector back."""
-    largest = np.abs(vectors).max(axis=1)
-    factor = np.where(largest > 0, largest / 127.0, 1.0)
-    whole = np.rint(vectors / factor[:, None]).astype(np.int8)
-    return [r.tobytes() for r in whole], factor
+def _rows(x: np.ndarray) -> list[bytes]:
+    return [r.tobytes() for r in x]
 
 
 def coded(nodes: DataFrame, width: int, norm: float) -> DataFrame:
-    """node, code, factor, asked, asked_factor, orders: for the graph, for a query, for the first lists."""
+    """node, code, full, orders: for the graph, for the search, for the first lists."""
     planes = np.random.default_rng(SEED).normal(size=(ORDERS, width, ORDER_BITS))
 
-    @F.pandas_udf(
-        "code binary, factor double, asked binary, asked_factor double, orders array<long>"
-    )
+    @F.pandas_udf("code binary, full binary, orders array<long>")
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         powers = 1 << np.arange(ORDER_BITS - 1, -1, -1)
         for batch in batches:
-            x = np.zeros((len(batch), width))
+            full = np.zeros((len(batch), width))
             for n, vec in enumerate(batch):
-                x[n, : len(vec)] = vec
-            x /= norm
+                full[n, : len(vec)] = vec
+            x = full / norm
             even = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))
-            full, factor = _codes(np.concatenate([x, even[:, None]], axis=1))
-            asked, asked_factor = _codes(x)
             orders = [((x @ p > 0) @ powers) for p in planes]
             yield pd.DataFrame(
                 {
-                    "code": full,
-                    "factor": factor,
-                    "asked": asked,
-                    "asked_factor": asked_factor,
+                    "code": _rows(np.concatenate([x, even[:, None]], axis=1).astype(np.float32)),
+                    "full": _rows(full),
                     "orders": list(np.stack(orders, axis=1).astype(np.int64)),
                 }
             )
@@ -133,6 +128,7 @@ def _best_pairs(node, x, fresh, worst, sent):
     than its worst neighbour.
     """
     new = np.flatnonzero(fresh)
+    x = x.astype(np.float64)
     near = x[new] @ x.T
     near[node[new][:, None] == node[None, :]] = -np.inf
     out = []
@@ -172,30 +168,30 @@ def _as_lists(node, other, near) -> pa.RecordBatch:
         [
             pa.array(node[begins]),
             pa.ListArray.from_arrays(ends, pa.array(other)),
-            pa.ListArray.from_arrays(ends, pa.array(near.astype(np.float32))),
+            pa.ListArray.from_arrays(ends, pa.array(near)),
         ],
         names=["node", "others", "nears"],
     )
 
 
-def _decoded(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    raw = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.int8)
-    factor = batch.column("factor").to_numpy(zero_copy_only=False).astype(np.float32)
-    return raw.reshape(batch.num_rows, width + 1).astype(np.float32) * factor[:, None]
+def _decoded(batch: pa.RecordBatch, width: int, product: bool) -> np.ndarray:
+    """The vectors; with the component that evens norms unless compared by plain products."""
+    raw = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.float32)
+    return raw.reshape(batch.num_rows, width + 1)[:, : width + (not product)]
 
 
-def _side_by_side(ordered: DataFrame, width: int) -> DataFrame:
-    """node, others, nears: the best of each chunk of neighbouring rows (node, code, factor)."""
+def _side_by_side(ordered: DataFrame, width: int, product: bool) -> DataFrame:
+    """node, others, nears: the best of each chunk of neighbouring rows (node, code)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, x = batch.column("node").to_numpy(zero_copy_only=False), _decoded(batch, width)
+            node, x = batch.column("node").to_numpy(zero_copy_only=False), _decoded(batch, width, product)
             found = []
             for at in range(0, len(node), FIRST_CHUNK):
                 # the last chunk reaches back, so that no row is left with few partners
                 begin = max(0, min(at, len(node) - FIRST_CHUNK))
                 n = node[begin : begin + FIRST_CHUNK]
-                least = np.full(len(n), -np.inf, np.float32)
+                least = np.full(len(n), -np.inf)
                 found += _best_pairs(n, x[begin : begin + FIRST_CHUNK], np.ones(len(n), bool), least, NEAR)
             if found and sum(len(f[0]) for f in found):
                 yield _as_lists(*_reduced(found, NEAR))
@@ -213,7 +209,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _dealt(state: DataFrame, buckets: int) -> DataFrame:
-    """bucket, node, code, factor, worst, pivots, fresh: every node once for each bucket its neighbours are in."""
+    """bucket, node, code, worst, pivots, fresh: every node once for each bucket its neighbours are in."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,25 +240,24 @@ def _dealt(state: DataFrame, buckets: int) -> DataFrame:
                     pa.array(bucket[begins]),
                     batch.column("node").take(at),
                     batch.column("code").take(at),
-                    batch.column("factor").take(at),
                     worst,
                     pa.ListArray.from_arrays(stops, pa.array(pivot)),
                     pa.ListArray.from_arrays(stops, pa.array(fresh)),
                 ],
-                names=["bucket", "node", "code", "factor", "worst", "pivots", "fresh"],
+                names=["bucket", "node", "code", "worst", "pivots", "fresh"],
             )
 
     return state.mapInArrow(
         deal,
-        "bucket long, node long, code binary, factor double, worst float, "
+        "bucket long, node long, code binary, worst double, "
         "pivots array<long>, fresh array<boolean>",
     )
 
 
-_PAIRS = "node long, others array<long>, nears array<float>"
+_PAIRS = "node long, others array<long>, nears array<double>"
 
 
-def _compare(dealt: DataFrame, width: int, turn: int) -> DataFrame:
+def _compare(dealt: DataFrame, width: int, product: bool, turn: int) -> DataFrame:
     """node, others, nears: the better pairs among the nodes that meet at a pivot.
 
     ``dealt`` is partitioned by bucket.  A task holds the codes and edges of its
@@ -281,7 +276,7 @@ def _compare(dealt: DataFrame, width: int, turn: int) -> DataFrame:
             held.append(
                 (
                     batch.column("node").to_numpy(zero_copy_only=False),
-                    _decoded(batch, width),
+                    _decoded(batch, width, product),
                     batch.column("worst").to_numpy(zero_copy_only=False),
                     rows + np.repeat(np.arange(batch.num_rows), counts),
                     lists.values.to_numpy(),
@@ -319,7 +314,7 @@ def _compare(dealt: DataFrame, width: int, turn: int) -> DataFrame:
 _LISTS = T.StructType(
     [
         T.StructField("others", T.ArrayType(T.LongType())),
-        T.StructField("nears", T.ArrayType(T.FloatType())),
+        T.StructField("nears", T.ArrayType(T.DoubleType())),
         T.StructField("fresh", T.ArrayType(T.BooleanType())),
     ]
 )
@@ -333,12 +328,12 @@ def _merge(
     out = []
     for have, have_near, new, new_near in zip(others, nears, found, found_nears, strict=True):
         have = np.asarray(have if have is not None else [], dtype=np.int64)
-        have_near = np.asarray(have_near if have_near is not None else [], dtype=np.float32)
+        have_near = np.asarray(have_near if have_near is not None else [], dtype=np.float64)
         if new is None or not len(new):
             out.append((have, have_near, np.zeros(len(have), bool)))
             continue
         ids = np.concatenate((have, np.asarray(new, dtype=np.int64)))
-        near = np.concatenate((have_near, np.asarray(new_near, dtype=np.float32)))
+        near = np.concatenate((have_near, np.asarray(new_near, dtype=np.float64)))
         ids, first = np.unique(ids, return_index=True)  # what it has comes first
         near, fresh = near[first], first >= len(have)
         best = np.lexsort((ids, -near))[:NEAR]
@@ -353,39 +348,38 @@ def _joined(state: DataFrame, better: DataFrame) -> DataFrame:
     )
     both = state.join(gathered, F.col("node") == F.col("at"), "left")
     merged = _merge("others", "nears", "found", "found_nears")
-    return both.select("node", "code", "factor", merged.alias("m")).select(
-        "node", "code", "factor", "m.*"
+    return both.select("node", "code", merged.alias("m")).select(
+        "node", "code", "m.*"
     )
 
 
-def graph(codes: DataFrame, width: int) -> DataFrame:
-    """node, others, nears: the neighbour lists NN-descent ends with."""
+def graph(codes: DataFrame, width: int, product: bool) -> DataFrame:
+    """node, others, nears: the neighbour lists NN-descent ends with, by plain products or with evened norms."""
     none = F.array()
     state = codes.select(
         "node",
         "code",
-        "factor",
         none.cast("array<long>").alias("others"),
-        none.cast("array<float>").alias("nears"),
+        none.cast("array<double>").alias("nears"),
     )
     ordered = (
-        codes.select("node", "code", "factor", F.posexplode("orders").alias("which", "order"))
+        codes.select("node", "code", F.posexplode("orders").alias("which", "order"))
         .repartitionByRange("which", "order", "node")
         .sortWithinPartitions("which", "order", "node")
-        .select("node", "code", "factor")
+        .select("node", "code")
     )
-    state = stored(_joined(state, _side_by_side(ordered, width)), "nn-lists")
+    state = stored(_joined(state, _side_by_side(ordered, width, product)), "nn-lists")
     edges = state.agg(F.sum(F.size("others") + 1).alias("n")).first()["n"] or 0
     buckets = max(12, -(-edges // BUCKET_EDGES))
     for turn in range(ROUNDS):
         worst = F.when(F.size("nears") >= NEAR, F.element_at("nears", -1)).otherwise(
-            F.lit(float("-inf")).cast("float")
+            F.lit(float("-inf"))
         )
         dealt = _dealt(
-            state.select("node", "code", "factor", worst.alias("worst"), "others", "fresh"), buckets
+            state.select("node", "code", worst.alias("worst"), "others", "fresh"), buckets
         )
         state = stored(
-            _joined(state.drop("fresh"), _compare(dealt, width, turn)), "nn-lists"
+            _joined(state.drop("fresh"), _compare(dealt, width, product, turn)), "nn-lists"
         )
         seen = state.select(
             F.sum(F.size(F.filter("fresh", lambda x: x))).alias("new"), F.sum(F.size("others")).alias("all")
@@ -395,34 +389,38 @@ def graph(codes: DataFrame, width: int) -> DataFrame:
     return state.select("node", "others", "nears")
 
 
-@F.pandas_udf(T.FloatType())
-def _near(code: pd.Series, factor: pd.Series, asked: pd.Series, asked_factor: pd.Series) -> pd.Series:
-    """Inner products of codes with asked vectors; the code's last component evens norms and is left out."""
-    if not len(code):
-        return pd.Series([], dtype="float32")
-    a = np.frombuffer(b"".join(code), dtype=np.int8).reshape(len(code), -1)[:, :-1]
-    b = np.frombuffer(b"".join(asked), dtype=np.int8).reshape(len(code), -1)
-    dots = np.einsum("nd,nd->n", a.astype(np.float32), b.astype(np.float32))
-    return pd.Series((dots * factor.to_numpy() * asked_factor.to_numpy()).astype(np.float32))
+@F.pandas_udf(T.DoubleType())
+def _near(full: pd.Series, asked: pd.Series) -> pd.Series:
+    """Inner products of vectors with asked vectors."""
+    if not len(full):
+        return pd.Series([], dtype="float64")
+    a, b = (np.frombuffer(b"".join(x), dtype=np.float64).reshape(len(full), -1) for x in (full, asked))
+    return pd.Series(np.einsum("nd,nd->n", a, b))
 
 
-def search(queries: DataFrame, lists: DataFrame, codes: DataFrame) -> DataFrame:
-    """query, node: the best ``POOL`` nodes that each query node (column node) finds."""
+def search(queries: DataFrame, lists: DataFrame, largest: DataFrame, codes: DataFrame) -> DataFrame:
+    """query, node: the best ``POOL`` nodes that each query node (column node) finds.
+
+    ``lists`` are expanded in both directions, ``largest`` (by plain products) only
+    from a node to its list: a long vector is in the lists of many.
+    """
     one_way = lists.select("node", F.explode("others").alias("other"))
     edges = stored(
-        one_way.unionByName(one_way.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(),
+        one_way.unionByName(one_way.select(F.col("other").alias("node"), F.col("node").alias("other")))
+        .unionByName(largest.select("node", F.explode("others").alias("other")))
+        .distinct(),
         "nn-edges",
     )
     asked = stored(
         queries.select(F.col("node").alias("query")).join(
-            codes.select(F.col("node").alias("query"), "asked", "asked_factor"), "query"
+            codes.select(F.col("node").alias("query"), F.col("full").alias("asked")), "query"
         ),
         "nn-asked",
     )
-    there = codes.select(F.col("node").alias("other"), "code", "factor")
+    there = codes.select(F.col("node").alias("other"), "full")
     # the first step leads to the query's own neighbours
     pool = asked.select(
-        "query", F.col("query").alias("node"), F.lit(float("inf")).cast("float").alias("near"), F.lit(False).alias("used")
+        "query", F.col("query").alias("node"), F.lit(float("inf")).alias("near"), F.lit(False).alias("used")
     )
     best = W.partitionBy("query").orderBy(F.desc("near"), "node")
     for _ in range(SEARCH_ROUNDS):
@@ -437,7 +435,7 @@ def search(queries: DataFrame, lists: DataFrame, codes: DataFrame) -> DataFrame:
         scored = reached.select(
             "query",
             F.col("other").alias("node"),
-            _near("code", "factor", "asked", "asked_factor").alias("near"),
+            _near("full", "asked").alias("near"),
             F.lit(False).alias("used"),
         ).where(F.col("query") != F.col("node"))
         known = pool.withColumn("used", F.lit(True))
@@ -474,7 +472,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
     nodes = named.where("nth = 1").select("node", "vec")
     width, norm = size["width"] or 1, size["norm"] or 1.0
     codes = stored(coded(nodes, width, norm), "nn-codes")
-    lists = graph(codes, width)
+    lists, largest = graph(codes, width, product=False), graph(codes, width, product=True)
 
     asking = stored(
         rows.where(is_query)
@@ -482,7 +480,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
         .select("vec_id", "node", "vec"),
         "nn-queries",
     )
-    found = search(asking.select("node").distinct(), lists, codes)
+    found = search(asking.select("node").distinct(), lists, largest, codes)
     own = asking.select(F.col("node").alias("query"), "node").distinct()
     pairs = found.unionByName(own)
     measured = stored(
