@@ -9,19 +9,20 @@ random hyperplane orders.  Lists of nodes that many others point to are compared
 in chunks of ``CHUNK``, in another order each round, so no list is ever gathered
 whole and none is cut.  Rounds stop when few lists change.
 
-Two graphs are built.  One evens out norms and so keeps its shape where norms
-differ; the other takes plain inner products, so that a node's list leads at once
-to the longest vectors of its region, which all members of a group of near copies
-look for.
+Two graphs are built.  One compares directions only and so keeps its shape where
+norms differ; the other takes plain inner products, so that a node's list leads at
+once to the longest vectors of its region, which all members of a group of near
+copies look for.
 
 Searching.  A query starts with its own neighbours and expands the best
 ``POOL`` nodes it knows along edges of the first graph in both directions and
 of the second in one, round by round, until all of them are expanded.
 
-For the graphs nodes travel in single precision, with a further component that
-evens out norms; they are compared in double precision, as near copies differ in the last digits only.  The
-search and the final order use inner products of the original vectors in double
-precision.
+For the graphs nodes travel as directions in single precision and a length, so that
+a long vector costs the others no digits; they are compared in double precision, as
+near copies differ in the last digits only.  The search uses the original vectors in
+double precision, scaled by powers of two against overflow, the final order their
+inner products.
 """
 
 from collections.abc import Iterator
@@ -96,24 +97,37 @@ def _rows(x: np.ndarray) -> list[bytes]:
     return [r.tobytes() for r in x]
 
 
-def coded(nodes: DataFrame, width: int, norm: float) -> DataFrame:
-    """node, code, full, orders: for the graph, for the search, for the first lists."""
+def _directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors; the vectors scaled to components of at most 1, their lengths, and the powers of two taken out."""
+    powers = np.frexp(np.abs(x).max(axis=1))[1]
+    scaled = np.ldexp(x, -powers[:, None])
+    length = np.sqrt((scaled * scaled).sum(axis=1))
+    return scaled / length[:, None], scaled, length, powers
+
+
+def coded(nodes: DataFrame, width: int, largest: float) -> DataFrame:
+    """node, code, size, full, asked, orders: direction and length for the graphs, vectors for the search and of a query, order for the first lists.
+
+    ``largest`` is the table's largest component.
+    """
     planes = np.random.default_rng(SEED).normal(size=(ORDERS, width, ORDER_BITS))
+    top = int(np.frexp(largest)[1])
 
-    @F.pandas_udf("code binary, full binary, orders array<long>")
+    @F.pandas_udf("code binary, size double, full binary, asked binary, orders array<long>")
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        powers = 1 << np.arange(ORDER_BITS - 1, -1, -1)
+        places = 1 << np.arange(ORDER_BITS - 1, -1, -1)
         for batch in batches:
-            full = np.zeros((len(batch), width))
+            x = np.zeros((len(batch), width))
             for n, vec in enumerate(batch):
-                full[n, : len(vec)] = vec
-            x = full / norm
-            even = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))
-            orders = [((x @ p > 0) @ powers) for p in planes]
+                x[n, : len(vec)] = vec
+            direction, scaled, length, powers = _directions(x)
+            orders = [((direction @ p > 0) @ places) for p in planes]
             yield pd.DataFrame(
                 {
-                    "code": _rows(np.concatenate([x, even[:, None]], axis=1).astype(np.float32)),
-                    "full": _rows(full),
+                    "code": _rows(direction.astype(np.float32)),
+                    "size": np.ldexp(length, powers - top),
+                    "full": _rows(np.ldexp(x, -top)),
+                    "asked": _rows(scaled),
                     "orders": list(np.stack(orders, axis=1).astype(np.int64)),
                 }
             )
@@ -121,26 +135,35 @@ def coded(nodes: DataFrame, width: int, norm: float) -> DataFrame:
     return nodes.select("node", code("vec").alias("c")).select("node", "c.*")
 
 
-def _best_pairs(node, x, fresh, worst, sent):
+def _best_pairs(node, x, size, product, fresh, worst, sent):
     """node, other, near of the better pairs in which at least one side is fresh.
 
-    ``x`` are the vectors; a node gets its best ``sent`` partners that are nearer
-    than its worst neighbour.
+    ``x`` are directions and ``size`` lengths.  Near is the inner product of the
+    node's direction with the other vector, or how little the directions differ.
+    A node gets its best ``sent`` partners that are nearer than its worst neighbour.
     """
     new = np.flatnonzero(fresh)
     x = x.astype(np.float64)
     near = x[new] @ x.T
-    near[node[new][:, None] == node[None, :]] = -np.inf
+    if not product:
+        squares = (x * x).sum(axis=1)
+        near = 2 * near - squares[new][:, None] - squares[None, :]
+    same = node[new][:, None] == node[None, :]
     out = []
-    for side, mine, others in ((near, new, None), (near[:, ~fresh].T, np.flatnonzero(~fresh), new)):
+    for side, apart, mine, others in (
+        (near, same, new, np.arange(len(node))),
+        (near[:, ~fresh].T, same[:, ~fresh].T, np.flatnonzero(~fresh), new),
+    ):
         if not side.size:
             continue
+        if product:
+            side = side * size[others]
+        side = np.where(apart, -np.inf, side)
         k = min(sent, side.shape[1])
         best = np.argpartition(-side, k - 1, axis=1)[:, :k]
         values = np.take_along_axis(side, best, axis=1)
         rows, columns = np.nonzero(values > worst[mine][:, None])
-        theirs = best[rows, columns]
-        out.append((node[mine[rows]], node[theirs if others is None else others[theirs]], values[rows, columns]))
+        out.append((node[mine[rows]], node[others[best[rows, columns]]], values[rows, columns]))
     return out
 
 
@@ -174,25 +197,26 @@ def _as_lists(node, other, near) -> pa.RecordBatch:
     )
 
 
-def _decoded(batch: pa.RecordBatch, width: int, product: bool) -> np.ndarray:
-    """The vectors; with the component that evens norms unless compared by plain products."""
+def _decoded(batch: pa.RecordBatch, width: int) -> np.ndarray:
     raw = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.float32)
-    return raw.reshape(batch.num_rows, width + 1)[:, : width + (not product)]
+    return raw.reshape(batch.num_rows, width)
 
 
 def _side_by_side(ordered: DataFrame, width: int, product: bool) -> DataFrame:
-    """node, others, nears: the best of each chunk of neighbouring rows (node, code)."""
+    """node, others, nears: the best of each chunk of neighbouring rows (node, code, size)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, x = batch.column("node").to_numpy(zero_copy_only=False), _decoded(batch, width, product)
+            node, x = batch.column("node").to_numpy(zero_copy_only=False), _decoded(batch, width)
+            size = batch.column("size").to_numpy(zero_copy_only=False)
             found = []
             for at in range(0, len(node), FIRST_CHUNK):
                 # the last chunk reaches back, so that no row is left with few partners
                 begin = max(0, min(at, len(node) - FIRST_CHUNK))
-                n = node[begin : begin + FIRST_CHUNK]
+                part = slice(begin, begin + FIRST_CHUNK)
+                n = node[part]
                 least = np.full(len(n), -np.inf)
-                found += _best_pairs(n, x[begin : begin + FIRST_CHUNK], np.ones(len(n), bool), least, NEAR)
+                found += _best_pairs(n, x[part], size[part], product, np.ones(len(n), bool), least, NEAR)
             if found and sum(len(f[0]) for f in found):
                 yield _as_lists(*_reduced(found, NEAR))
 
@@ -209,7 +233,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _dealt(state: DataFrame, buckets: int) -> DataFrame:
-    """bucket, node, code, worst, pivots, fresh: every node once for each bucket its neighbours are in."""
+    """bucket, node, code, size, worst, pivots, fresh: every node once for each bucket its neighbours are in."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,16 +264,17 @@ def _dealt(state: DataFrame, buckets: int) -> DataFrame:
                     pa.array(bucket[begins]),
                     batch.column("node").take(at),
                     batch.column("code").take(at),
+                    batch.column("size").take(at),
                     worst,
                     pa.ListArray.from_arrays(stops, pa.array(pivot)),
                     pa.ListArray.from_arrays(stops, pa.array(fresh)),
                 ],
-                names=["bucket", "node", "code", "worst", "pivots", "fresh"],
+                names=["bucket", "node", "code", "size", "worst", "pivots", "fresh"],
             )
 
     return state.mapInArrow(
         deal,
-        "bucket long, node long, code binary, worst double, "
+        "bucket long, node long, code binary, size double, worst double, "
         "pivots array<long>, fresh array<boolean>",
     )
 
@@ -276,7 +301,8 @@ def _compare(dealt: DataFrame, width: int, product: bool, turn: int) -> DataFram
             held.append(
                 (
                     batch.column("node").to_numpy(zero_copy_only=False),
-                    _decoded(batch, width, product),
+                    _decoded(batch, width),
+                    batch.column("size").to_numpy(zero_copy_only=False),
                     batch.column("worst").to_numpy(zero_copy_only=False),
                     rows + np.repeat(np.arange(batch.num_rows), counts),
                     lists.values.to_numpy(),
@@ -286,7 +312,7 @@ def _compare(dealt: DataFrame, width: int, product: bool, turn: int) -> DataFram
             rows += batch.num_rows
         if not held:
             return
-        node, x, worst, row, pivot, fresh = (np.concatenate(c) for c in zip(*held, strict=True))
+        node, x, size, worst, row, pivot, fresh = (np.concatenate(c) for c in zip(*held, strict=True))
         order = np.lexsort((_mixed(node[row] + turn), pivot))
         row, pivot, fresh = row[order], pivot[order], fresh[order]
         edges = np.flatnonzero(pivot[1:] != pivot[:-1]) + 1
@@ -298,7 +324,7 @@ def _compare(dealt: DataFrame, width: int, product: bool, turn: int) -> DataFram
                 if len(part) < 2 or not new.any():
                     continue
                 r = row[part]
-                for pair in _best_pairs(node[r], x[r], new, worst[r], SENT_BACK):
+                for pair in _best_pairs(node[r], x[r], size[r], product, new, worst[r], SENT_BACK):
                     if len(pair[0]):
                         found.append(pair)
                         count += len(pair[0])
@@ -348,25 +374,26 @@ def _joined(state: DataFrame, better: DataFrame) -> DataFrame:
     )
     both = state.join(gathered, F.col("node") == F.col("at"), "left")
     merged = _merge("others", "nears", "found", "found_nears")
-    return both.select("node", "code", merged.alias("m")).select(
-        "node", "code", "m.*"
+    return both.select("node", "code", "size", merged.alias("m")).select(
+        "node", "code", "size", "m.*"
     )
 
 
 def graph(codes: DataFrame, width: int, product: bool) -> DataFrame:
-    """node, others, nears: the neighbour lists NN-descent ends with, by plain products or with evened norms."""
+    """node, others, nears: the neighbour lists NN-descent ends with, by plain products or by direction."""
     none = F.array()
     state = codes.select(
         "node",
         "code",
+        "size",
         none.cast("array<long>").alias("others"),
         none.cast("array<double>").alias("nears"),
     )
     ordered = (
-        codes.select("node", "code", F.posexplode("orders").alias("which", "order"))
+        codes.select("node", "code", "size", F.posexplode("orders").alias("which", "order"))
         .repartitionByRange("which", "order", "node")
         .sortWithinPartitions("which", "order", "node")
-        .select("node", "code")
+        .select("node", "code", "size")
     )
     state = stored(_joined(state, _side_by_side(ordered, width, product)), "nn-lists")
     edges = state.agg(F.sum(F.size("others") + 1).alias("n")).first()["n"] or 0
@@ -376,7 +403,7 @@ def graph(codes: DataFrame, width: int, product: bool) -> DataFrame:
             F.lit(float("-inf"))
         )
         dealt = _dealt(
-            state.select("node", "code", worst.alias("worst"), "others", "fresh"), buckets
+            state.select("node", "code", "size", worst.alias("worst"), "others", "fresh"), buckets
         )
         state = stored(
             _joined(state.drop("fresh"), _compare(dealt, width, product, turn)), "nn-lists"
@@ -398,22 +425,22 @@ def _near(full: pd.Series, asked: pd.Series) -> pd.Series:
     return pd.Series(np.einsum("nd,nd->n", a, b))
 
 
-def search(queries: DataFrame, lists: DataFrame, largest: DataFrame, codes: DataFrame) -> DataFrame:
+def search(queries: DataFrame, lists: DataFrame, products: DataFrame, codes: DataFrame) -> DataFrame:
     """query, node: the best ``POOL`` nodes that each query node (column node) finds.
 
-    ``lists`` are expanded in both directions, ``largest`` (by plain products) only
+    ``lists`` are expanded in both directions, ``products`` (by plain products) only
     from a node to its list: a long vector is in the lists of many.
     """
     one_way = lists.select("node", F.explode("others").alias("other"))
     edges = stored(
         one_way.unionByName(one_way.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        .unionByName(largest.select("node", F.explode("others").alias("other")))
+        .unionByName(products.select("node", F.explode("others").alias("other")))
         .distinct(),
         "nn-edges",
     )
     asked = stored(
         queries.select(F.col("node").alias("query")).join(
-            codes.select(F.col("node").alias("query"), F.col("full").alias("asked")), "query"
+            codes.select(F.col("node").alias("query"), "asked"), "query"
         ),
         "nn-asked",
     )
@@ -465,14 +492,13 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
     if k > POOL:
         raise ValueError(f"k is {k}; the search keeps {POOL}")
     rows = stored(usable(table, key, vector), "nn-rows")
-    size = rows.agg(
-        F.max(F.size("vec")).alias("width"), F.max(F.sqrt(inner(F.col("vec"), F.col("vec")))).alias("norm")
-    ).first()
+    parts = F.transform("vec", lambda x: F.abs(x))
+    size = rows.agg(F.max(F.size("vec")).alias("width"), F.max(F.array_max(parts)).alias("largest")).first()
     named = stored(nodes_of(rows, k + 1), "nn-nodes")
     nodes = named.where("nth = 1").select("node", "vec")
-    width, norm = size["width"] or 1, size["norm"] or 1.0
-    codes = stored(coded(nodes, width, norm), "nn-codes")
-    lists, largest = graph(codes, width, product=False), graph(codes, width, product=True)
+    width, largest = size["width"] or 1, size["largest"] or 1.0
+    codes = stored(coded(nodes, width, largest), "nn-codes")
+    lists, products = graph(codes, width, product=False), graph(codes, width, product=True)
 
     asking = stored(
         rows.where(is_query)
@@ -480,7 +506,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
         .select("vec_id", "node", "vec"),
         "nn-queries",
     )
-    found = search(asking.select("node").distinct(), lists, largest, codes)
+    found = search(asking.select("node").distinct(), lists, products, codes)
     own = asking.select(F.col("node").alias("query"), "node").distinct()
     pairs = found.unionByName(own)
     measured = stored(

@@ -37,3 +37,14 @@ def noisy_copies(noise):
 
 def test_near_copies_find_each_other(spark):
     assert recall(spark, noisy_copies(0.001)) >= 0.95
+
+
+def with_long_row(times):
+    x = unit(np.random.default_rng(9), 1000, 16)
+    x[7] *= times
+    return x
+
+
+def test_long_rows_do_not_hide_the_others(spark):
+    for times in (100.0, 1e200):
+        assert recall(spark, with_long_row(times)) >= 0.9
