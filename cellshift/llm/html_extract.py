@@ -54,7 +54,8 @@ WORDS_KEPT = 200_000  # cached word hashes of a worker
 
 _piece = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<({'|'.join(SILENT_TAGS)})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<svg(?=[\s/>])[^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+(?<=/)>"  # empty, unlike other silent tags written so
+    rf"|<({'|'.join(SILENT_TAGS)})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>",
     re.S | re.I,
 )
