@@ -6,8 +6,9 @@ meets at a node are neighbours of neighbours, which are compared with each other
 unless both came by edges already used, and the better ones are sent back.  The
 first lists come from the same comparison of nodes that lie side by side in a few
 random hyperplane orders.  Lists of nodes that many others point to are compared
-in chunks of ``CHUNK``, in another order each round, so no list is ever gathered
-whole and none is cut.  Rounds stop when few lists change.
+in chunks of ``CHUNK``, in another order each round, and lie over several tasks, so
+no list is ever gathered whole and none is cut.  Equal scores are ordered by a hash
+of both nodes, so that they do not make one node the neighbour of all.  Rounds stop when few lists change.
 
 Two graphs are built.  One compares directions only and so keeps its shape where
 norms differ; the other takes plain inner products, so that a node's list leads at
@@ -26,6 +27,7 @@ inner products.
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,8 +43,8 @@ NEAR = 32
 CHUNK = 256
 FIRST_CHUNK = 512
 SENT_BACK = 6
-BUCKET_EDGES = 200_000  # edges whose codes a task holds at a time
-HELD = 2_000_000  # pairs a task holds before it keeps the best of each node
+BUCKET_EDGES = 200_000  # edges a task reads, one chunk at a time
+HELD = 2_000_000  # pairs a task holds before it sends back the best of each node
 ORDERS = 8
 ORDER_BITS = 16
 ROUNDS = 14
@@ -167,6 +169,15 @@ def _best_pairs(node, x, size, product, fresh, worst, sent):
     return out
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Bits of ids stirred, to deal them evenly."""
+    x = x.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _reduced(found: list[tuple], keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The best ``keep`` distinct partners of each node."""
     node, other, near = (np.concatenate(c) for c in zip(*found, strict=True))
@@ -175,7 +186,7 @@ def _reduced(found: list[tuple], keep: int) -> tuple[np.ndarray, np.ndarray, np.
     once = np.ones(len(node), bool)
     once[1:] = (node[1:] != node[:-1]) | (other[1:] != other[:-1])
     node, other, near = node[once], other[once], near[once]
-    order = np.lexsort((-near, node))
+    order = np.lexsort((_mixed(node ^ _mixed(other).astype(np.int64)), -near, node))  # ties differ from node to node
     node, other, near = node[order], other[order], near[order]
     begins = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1]))) if len(node) else np.zeros(0, int)
     place = np.arange(len(node)) - np.repeat(begins, np.diff(np.append(begins, len(node))))
@@ -223,118 +234,64 @@ def _side_by_side(ordered: DataFrame, width: int, product: bool) -> DataFrame:
     return ordered.mapInArrow(compare, _PAIRS)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Bits of ids stirred, to deal them evenly."""
-    x = x.astype(np.uint64)
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _dealt(state: DataFrame, buckets: int) -> DataFrame:
-    """bucket, node, code, size, worst, pivots, fresh: every node once for each bucket its neighbours are in."""
+def _dealt(state: DataFrame, turn: int) -> DataFrame:
+    """pivot, salt, node, code, size, worst, fresh: every node at itself and at its neighbours."""
+    own = F.array(F.struct(F.col("node").alias("pivot"), F.lit(False).alias("fresh")))
+    others = F.zip_with("others", "fresh", lambda p, f: F.struct(p.alias("pivot"), f.alias("fresh")))
+    return state.select("node", "code", "size", "worst", F.inline(F.concat(own, others))).select(
+        "pivot", F.xxhash64("node", F.lit(turn)).alias("salt"), "node", "code", "size", "worst", "fresh"
+    )
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("others")
-            lists = lists.take(pa.array(np.arange(len(lists))))  # offsets from zero
-            counts = np.diff(lists.offsets.to_numpy()) + 1
-            node = batch.column("node").to_numpy(zero_copy_only=False)
-            ends = np.cumsum(counts)
-            own = ends - counts  # each node also meets its neighbours' neighbours at itself
-            pivot, fresh = np.empty(ends[-1] if len(ends) else 0, np.int64), np.zeros(ends[-1] if len(ends) else 0, bool)
-            rest = np.ones(len(pivot), bool)
-            rest[own] = False
-            pivot[own], pivot[rest] = node, lists.values.to_numpy()
-            flags = batch.column("fresh").take(pa.array(np.arange(len(lists))))
-            fresh[rest] = flags.values.to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(node)), counts)
-            bucket = (_mixed(pivot) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((bucket, row))
-            row, bucket, pivot, fresh = row[order], bucket[order], pivot[order], fresh[order]
-            if not len(row):
-                continue
-            change = (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1])
-            begins = np.flatnonzero(np.concatenate(([True], change)))
-            at, stops = pa.array(row[begins]), pa.array(np.append(begins, len(row)).astype(np.int32))
-            worst = batch.column("worst").take(at)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[begins]),
-                    batch.column("node").take(at),
-                    batch.column("code").take(at),
-                    batch.column("size").take(at),
-                    worst,
-                    pa.ListArray.from_arrays(stops, pa.array(pivot)),
-                    pa.ListArray.from_arrays(stops, pa.array(fresh)),
-                ],
-                names=["bucket", "node", "code", "size", "worst", "pivots", "fresh"],
-            )
 
-    return state.mapInArrow(
-        deal,
-        "bucket long, node long, code binary, size double, worst double, "
-        "pivots array<long>, fresh array<boolean>",
-    )
+def _gathered(dealt: DataFrame, buckets: int) -> DataFrame:
+    """What meets at a pivot side by side, in an order of the round's own; a hub goes over as many tasks as it fills."""
+    return dealt.repartitionByRange(buckets, "pivot", "salt").sortWithinPartitions("pivot", "salt")
 
 
 _PAIRS = "node long, others array<long>, nears array<double>"
 
 
-def _compare(dealt: DataFrame, width: int, product: bool, turn: int) -> DataFrame:
+def _compare(gathered: DataFrame, width: int, product: bool) -> DataFrame:
     """node, others, nears: the better pairs among the nodes that meet at a pivot.
 
-    ``dealt`` is partitioned by bucket.  A task holds the codes and edges of its
-    buckets, whose number grows with the table; what a node has at several pivots
-    of a task is merged before it is sent back.
+    A task holds the vectors of one Arrow batch and of less than two chunks; what a
+    node has at several pivots of a task is merged before it is sent back.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = pa.array(np.arange(batch.num_rows))
-            lists, flags = batch.column("pivots").take(at), batch.column("fresh").take(at)
-            counts = np.diff(lists.offsets.to_numpy())
-            held.append(
-                (
-                    batch.column("node").to_numpy(zero_copy_only=False),
-                    _decoded(batch, width),
-                    batch.column("size").to_numpy(zero_copy_only=False),
-                    batch.column("worst").to_numpy(zero_copy_only=False),
-                    rows + np.repeat(np.arange(batch.num_rows), counts),
-                    lists.values.to_numpy(),
-                    flags.values.to_numpy(zero_copy_only=False),
-                )
-            )
-            rows += batch.num_rows
-        if not held:
-            return
-        node, x, size, worst, row, pivot, fresh = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((_mixed(node[row] + turn), pivot))
-        row, pivot, fresh = row[order], pivot[order], fresh[order]
-        edges = np.flatnonzero(pivot[1:] != pivot[:-1]) + 1
-        found, count = [], 0
-        for begin, stop in zip([0, *edges.tolist()], [*edges.tolist(), len(pivot)], strict=True):
-            parts = -(-(stop - begin) // CHUNK)
-            for part in np.array_split(np.arange(begin, stop), parts):
-                new = fresh[part]
-                if len(part) < 2 or not new.any():
+        found, count, rest = [], 0, None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                if not batch.num_rows:
                     continue
-                r = row[part]
-                for pair in _best_pairs(node[r], x[r], size[r], product, new, worst[r], SENT_BACK):
-                    if len(pair[0]):
-                        found.append(pair)
-                        count += len(pair[0])
-            if count > HELD:
-                found = [_reduced(found, NEAR)]
-                count = min(count // 2, len(found[0][0]))
+                plain = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("pivot", "node", "size", "worst", "fresh")]
+                rows = (*plain, _decoded(batch, width))
+                rest = rows if rest is None else tuple(np.concatenate(c) for c in zip(rest, rows, strict=True))
+            if rest is None:
+                break
+            pivot, node, size, worst, fresh, x = rest
+            edges = (np.flatnonzero(pivot[1:] != pivot[:-1]) + 1).tolist()
+            for begin, stop in zip([0, *edges], [*edges, len(pivot)], strict=True):
+                parts = [slice(p[0], p[-1] + 1) for p in np.array_split(np.arange(begin, stop), -(-(stop - begin) // CHUNK))]
+                if stop == len(pivot) and batch is not None:  # the next batch may go on with it
+                    full = max(0, (stop - begin) // CHUNK - 1)
+                    parts = [slice(begin + n * CHUNK, begin + (n + 1) * CHUNK) for n in range(full)]
+                    rest = tuple(c[begin + full * CHUNK :].copy() for c in rest)
+                for part in parts:
+                    new = fresh[part]
+                    if len(new) < 2 or not new.any():
+                        continue
+                    for pair in _best_pairs(node[part], x[part], size[part], product, new, worst[part], SENT_BACK):
+                        if len(pair[0]):
+                            found.append(pair)
+                            count += len(pair[0])
+                if count > HELD:
+                    yield _as_lists(*_reduced(found, NEAR))
+                    found, count = [], 0
         if found:
             yield _as_lists(*_reduced(found, NEAR))
 
-    return dealt.repartition("bucket").mapInArrow(meet, _PAIRS)
+    return gathered.mapInArrow(meet, _PAIRS)
 
 
 _LISTS = T.StructType(
@@ -348,11 +305,11 @@ _LISTS = T.StructType(
 
 @F.pandas_udf(_LISTS)
 def _merge(
-    others: pd.Series, nears: pd.Series, found: pd.Series, found_nears: pd.Series
+    node: pd.Series, others: pd.Series, nears: pd.Series, found: pd.Series, found_nears: pd.Series
 ) -> pd.DataFrame:
     """The ``NEAR`` nearest of a list and what was found, and which of them are new."""
     out = []
-    for have, have_near, new, new_near in zip(others, nears, found, found_nears, strict=True):
+    for at, have, have_near, new, new_near in zip(node, others, nears, found, found_nears, strict=True):
         have = np.asarray(have if have is not None else [], dtype=np.int64)
         have_near = np.asarray(have_near if have_near is not None else [], dtype=np.float64)
         if new is None or not len(new):
@@ -362,7 +319,7 @@ def _merge(
         near = np.concatenate((have_near, np.asarray(new_near, dtype=np.float64)))
         ids, first = np.unique(ids, return_index=True)  # what it has comes first
         near, fresh = near[first], first >= len(have)
-        best = np.lexsort((ids, -near))[:NEAR]
+        best = np.lexsort((_mixed(at ^ _mixed(ids).astype(np.int64)), -near))[:NEAR]
         out.append((ids[best], near[best], fresh[best]))
     return pd.DataFrame(out, columns=["others", "nears", "fresh"])
 
@@ -373,7 +330,7 @@ def _joined(state: DataFrame, better: DataFrame) -> DataFrame:
         F.flatten(F.collect_list("others")).alias("found"), F.flatten(F.collect_list("nears")).alias("found_nears")
     )
     both = state.join(gathered, F.col("node") == F.col("at"), "left")
-    merged = _merge("others", "nears", "found", "found_nears")
+    merged = _merge("node", "others", "nears", "found", "found_nears")
     return both.select("node", "code", "size", merged.alias("m")).select(
         "node", "code", "size", "m.*"
     )
@@ -402,11 +359,9 @@ def graph(codes: DataFrame, width: int, product: bool) -> DataFrame:
         worst = F.when(F.size("nears") >= NEAR, F.element_at("nears", -1)).otherwise(
             F.lit(float("-inf"))
         )
-        dealt = _dealt(
-            state.select("node", "code", "size", worst.alias("worst"), "others", "fresh"), buckets
-        )
+        dealt = _dealt(state.withColumn("worst", worst), turn)
         state = stored(
-            _joined(state.drop("fresh"), _compare(dealt, width, product, turn)), "nn-lists"
+            _joined(state.drop("fresh"), _compare(_gathered(dealt, buckets), width, product)), "nn-lists"
         )
         seen = state.select(
             F.sum(F.size(F.filter("fresh", lambda x: x))).alias("new"), F.sum(F.size("others")).alias("all")

@@ -48,3 +48,25 @@ def with_long_row(times):
 def test_long_rows_do_not_hide_the_others(spark):
     for times in (100.0, 1e200):
         assert recall(spark, with_long_row(times)) >= 0.9
+
+
+def test_a_hub_is_dealt_to_many_tasks(spark):
+    ids = spark.range(4000).select(
+        F.col("id").alias("node"),
+        F.lit(b"code").alias("code"),
+        F.lit(1.0).alias("size"),
+        F.lit(0.0).alias("worst"),
+        F.array(F.lit(0).cast("long")).alias("others"),
+        F.array(F.lit(True)).alias("fresh"),
+    )
+    gathered = neighbours._gathered(neighbours._dealt(ids, 0), 16)
+    sizes = [r["count"] for r in gathered.where("pivot = 0").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4001 and max(sizes) <= 1500
+
+
+def test_equal_scores_make_no_hub(spark):
+    rows = [(n, [float(n == m) for m in range(400)]) for n in range(400)]
+    nodes = spark.createDataFrame(rows, "node long, vec array<double>")
+    lists = neighbours.graph(neighbours.coded(nodes, 400, 1.0), 400, False)
+    most = lists.select(F.explode("others").alias("o")).groupBy("o").count().agg(F.max("count")).first()[0]
+    assert most <= 200
