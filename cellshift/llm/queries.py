@@ -9,15 +9,18 @@ from cellshift.llm import (
     chat,
     fingerprints,
     html_extract,
+    interactions,
     language,
     licenses,
+    merkle,
     mixing,
     neighbours,
+    quality,
     simhash,
     warc,
 )
 from cellshift.llm.common import WORD, table
-from cellshift.session import shared_path
+from cellshift.session import shared_path, stored
 
 
 def held_out():
@@ -124,6 +127,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.ledger(table(spark, sf_dir, "documents"))
+    judged = quality.applied(stored(rows, "quality-ledger"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~F.col("kept")[quality.BASE.version]).alias("base_failed"),
+        F.col("kept")[quality.CURRENT.version].alias("kept"),
+        "failures",
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(changes, F.translate("text", _UPPER, _UPPER.lower()))
+    leaves = merkle.document_leaves(table(spark, sf_dir, "documents"), tampered)
+    audit = merkle.audited(merkle.built(leaves, ["doc_id"]))
+    siblings = F.transform("proof", lambda level: F.substring(level, 2, merkle.ARITY * merkle.DIGITS))
+    return audit.select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(F.array_join(siblings, ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = interactions.failing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return interactions.audited(counts).drop("filter")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -137,6 +173,9 @@ QUERIES = {
         op8_chat,
         op9_licenses,
         op10_simhash,
+        op11_quality_rules,
+        op12_merkle,
+        op13_filter_audit,
     )
 }
 
@@ -245,9 +284,162 @@ SELECT conv_id, count(*) AS n_turns,
 FROM m GROUP BY conv_id
 """
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_RULES = " OR ".join(f"({rule.fails})" for rule in quality.RULES)
+_BITS = " + ".join(f"CASE WHEN {rule.fails} THEN {1 << rule.bit} ELSE 0 END" for rule in quality.RULES)
+OP11_SQL = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT r, doc_id, text, regexp_extract_all(text, '{WORD}') AS words,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
+    FROM d
+), i AS (
+    SELECT r, unnest(range(1, len(words) - 6)) AS i,
+           unnest(list_transform(range(1, len(words) - 6), lambda j: array_to_string(words[j:j + 7], ' '))) AS passage
+    FROM w WHERE len(words) >= 8
+), g AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, passage) AS times FROM i
+), c AS (
+    SELECT r, least(8, i - coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -8)) AS n FROM g WHERE times > 1
+), m AS (
+    SELECT doc_id, length(text) AS n_chars, len(words)::BIGINT AS n_words,
+           length(array_to_string(words, ''))::BIGINT AS word_chars, len(lines)::BIGINT AS n_lines,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+           coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+           len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+           len(list_filter(words, lambda x: regexp_matches(x, '\p{{Lu}}') AND NOT regexp_matches(x, '\p{{Ll}}'))) AS n_capital_words,
+           len(list_filter(range(2, len(words) + 1), lambda j: words[j] = words[j - 1])) AS n_stutters
+    FROM w LEFT JOIN (SELECT r, sum(n) AS n FROM c GROUP BY r) c ON c.r = w.r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT ({_RULES}) AS kept, ({_BITS})::BIGINT AS failures
+FROM m
+"""
+
+_CRC32 = (
+    "list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({x}, ''), "
+    "lambda ch: list_prepend(ascii(ch)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))), "
+    "lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)"
+)
+
+
+def _leaf_sql(text: str) -> str:
+    enc = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    return "sha256(" + " || ".join(enc.format(text if f == "text" else f) for f in merkle.FIELDS) + ")"
+
+
+def _merkle_sql(levels: int, top_levels: int) -> str:
+    """Levels written out one by one; a level above the last node hands it on unchanged.
+
+    ``levels`` and ``top_levels`` bound the leaves of a tree and the trees by 8 to that power.
+    """
+    parts = [
+        f"""l0 AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, coalesce('1' || lang, '0') AS tree, {_leaf_sql("text")} AS digest,
+           CASE WHEN xor({_CRC32.format(x="doc_id::VARCHAR")}, 4294967295) % 3 = 0
+                THEN {_leaf_sql(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} ELSE {_leaf_sql("text")} END AS f
+    FROM documents
+), a0 AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest, r) - 1 AS pos,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM l0
+)"""
+    ]
+    for name, below, count in (("a", "", levels), ("t", "", top_levels)):
+        if name == "t":
+            parts.append(
+                f"""t0 AS (
+    SELECT 'top' AS tree, tree AS name, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+    FROM a{levels}
+)"""
+            )
+        for i in range(count):
+            parts.append(
+                f"""{name}{i + 1} AS (
+    SELECT tree, pos // 8 AS pos, CASE WHEN max(n) = 1 THEN 1 ELSE (max(n) + 7) // 8 END AS n,
+           CASE WHEN max(n) = 1 THEN max(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest,
+           CASE WHEN max(n) = 1 THEN NULL ELSE list(digest ORDER BY pos) END AS run
+    FROM {name}{i} GROUP BY tree, pos // 8
+)"""
+            )
+    steps = [("a", i + 1) for i in range(levels)] + [("t", i + 1) for i in range(top_levels)]
+    parts.append("f0 AS (SELECT r, doc_id, tree, digest AS leaf, pos, f, '' AS proof, NULL::VARCHAR AS subroot FROM a0)")
+    last = "f0"
+    for k, (name, i) in enumerate(steps):
+        if (name, i) == ("t", 1):
+            parts.append(
+                f"fs AS (SELECT p.r, p.doc_id, 'top' AS tree, p.leaf, t.pos, p.f, p.proof, t.digest AS subroot "
+                f"FROM {last} p JOIN t0 t ON t.name = p.tree)"
+            )
+            last = "fs"
+        run, slot = "c.run", "(p.pos % 8)::INT"
+        parts.append(
+            f"""f{k + 1} AS (
+    SELECT p.r, p.doc_id, p.tree, p.leaf, p.pos // 8 AS pos, p.subroot,
+           CASE WHEN {run} IS NULL THEN p.f ELSE sha256(array_to_string({run}[:{slot}], '') || p.f || array_to_string({run}[{slot} + 2:], '')) END AS f,
+           p.proof || coalesce(array_to_string({run}[:{slot}], '') || array_to_string({run}[{slot} + 2:], ''), '') AS proof
+    FROM {last} p JOIN {name}{i} c ON c.tree = p.tree AND c.pos = p.pos // 8
+)"""
+        )
+        last = f"f{k + 1}"
+    return (
+        "WITH " + ", ".join(parts) + f" SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, "
+        f"f AS folded_root, f = t.digest AS verified FROM {last} p JOIN t{top_levels} t ON t.tree = p.tree"
+    )
+
+
+OP12_SQL = _merkle_sql(8, 3)
+
+OP13_SQL = rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+           regexp_extract_all(coalesce(text, ''), '{WORD}') AS words
+    FROM documents
+), l AS (
+    SELECT doc_id AS id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels
+    WHERE doc_id IS NOT NULL GROUP BY doc_id
+), f AS (
+    SELECT part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+           [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+            100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+            regexp_matches(text, '[#$%&*|]'),
+            coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+    FROM d LEFT JOIN l ON d.doc_id = l.id
+), counted AS (
+    SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+    SELECT a.c || b.c || c.c || d.c || e.c AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), ran AS (
+    SELECT part, o, fails, n, good, toxic,
+           coalesce(list_min(list_transform(range(1, 6), lambda i: CASE WHEN fails[i] THEN strpos(o, 'ABCDE'[CAST(i AS INT)]) END)), 6) AS gone
+    FROM counted, orders
+), steps AS (
+    SELECT part, o AS filter_order, s.step, o[s.step] AS letter, strpos('ABCDE', o[s.step]) AS k,
+           sum(CASE WHEN gone > s.step THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN gone = s.step THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN gone < s.step AND fails[strpos('ABCDE', o[s.step])] THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN fails[strpos('ABCDE', o[s.step])] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN gone = s.step THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN gone = s.step THEN toxic ELSE 0 END) AS toxic_lost
+    FROM ran, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM steps
+"""
+
 ORACLES = {
     "op2_fingerprints": OP2_SQL,
     "op6_mix": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op8_chat": OP8_SQL,
+    "op11_quality_rules": OP11_SQL,
+    "op12_merkle": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
