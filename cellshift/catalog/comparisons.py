@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cellshift.catalog import binding as b
 from cellshift.catalog.registry import query
 from cellshift.functions.vectors import l2_norm
-from cellshift.operators import compare, embed, perturb, quantiles
+from cellshift.operators import compare, embed, perturb
 from cellshift.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -70,7 +70,7 @@ def vector_summary(spark, sf):
     flagged = compare.with_target_flag(
         vector_distances(spark, sf), b.vector_cells(spark, sf), b.vector_specs(spark, sf)
     )
-    return compare.distance_summary(flagged, b.table(spark, sf, "embeddings").count())
+    return compare.distance_summary(flagged)
 
 
 @query(
@@ -210,16 +210,13 @@ SELECT 'run_all' AS run_id, experiment_id, """
 
 
 def chain(spark, sf):
-    specs, cells = b.run_specs(spark, sf), b.cells(spark, sf)
-    genes, expression = b.genes(spark, sf), b.expression(spark, sf)
+    specs, cells, genes = b.run_specs(spark, sf), b.cells(spark, sf), b.genes(spark, sf)
+    expression = stored(b.expression(spark, sf), "matrix")
+    baseline = stored(embed.baseline_embeddings(cells, expression, b.DIM), "baseline")
     delta = perturb.delta_table(specs, cells, genes, expression)
-    baseline = embed.baseline_embeddings(cells, expression, b.DIM)
     changed = embed.changed_embeddings(delta, baseline, b.DIM)
-    dist = compare.changed_distances(changed, cells, specs)
-    n_cells = cells.count()
-    if n_cells > quantiles.BUFFER_ROWS:  # the summary then reads both several times
-        dist, baseline = stored(dist, "distances"), stored(baseline, "baseline")
-    return compare.changed_summary(dist, baseline, cells, specs, n_cells)
+    dist = stored(compare.changed_distances(changed, cells, specs), "distances")
+    return compare.changed_summary(dist, baseline, cells, specs)
 
 
 @query("experiment_comparison", CHAIN_SQL)

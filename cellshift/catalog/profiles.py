@@ -82,17 +82,17 @@ def gene_totals(spark, sf):
 
 
 def _register_describes() -> None:
-    for side, source, table in (("cell", "cell_sums", "customer"), ("gene", "gene_sums", "part")):
+    for side, source in (("cell", "cell_sums"), ("gene", "gene_sums")):
         for column in ("total", "detected"):
 
-            def run(spark, sf, side=side, column=column, table=table):
+            def run(spark, sf, side=side, column=column):
                 cells, genes, expression = _matrix(spark, sf)
                 totals = (
                     pr.cell_totals(cells, expression)
                     if side == "cell"
                     else pr.gene_totals(genes, expression)
                 )
-                return _rounded(pr.describe(totals, column, b.table(spark, sf, table).count()))
+                return _rounded(pr.describe(totals, column))
 
             query(
                 f"describe_{side}_{column}",
@@ -108,10 +108,29 @@ _register_describes()
     _describe_sql("customer", "c_acctbal", model.DESCRIBE_PERCENTILES),
 )
 def describe_numeric_column(spark, sf):
-    customer = b.table(spark, sf, "customer")
-    return _rounded(
-        pr.describe(customer, "c_acctbal", customer.count(), model.DESCRIBE_PERCENTILES)
+    return _rounded(pr.describe(b.table(spark, sf, "customer"), "c_acctbal", model.DESCRIBE_PERCENTILES))
+
+
+WITH_NAN_SQL = """
+WITH x AS (
+  SELECT CASE WHEN l_orderkey % 17 = 3 THEN NULL WHEN l_orderkey % 17 = 5 THEN NULL
+    WHEN l_linenumber = 7 THEN -l_extendedprice ELSE l_extendedprice * (1 - l_discount) END AS price
+  FROM lineitem)
+"""
+
+
+@query("describe_with_nan", WITH_NAN_SQL + _describe_sql("x", "price", model.PROFILE_PERCENTILES))
+def describe_with_nan(spark, sf):
+    """Every line's price, of which some are null, some NaN and some negative."""
+    order, price = F.col("l_orderkey"), F.col("l_extendedprice")
+    lines = b.table(spark, sf, "lineitem").select(
+        F.when(order % 17 == 3, F.lit(float("nan")))
+        .when(order % 17 == 5, F.lit(None))
+        .when(F.col("l_linenumber") == 7, -price)
+        .otherwise(price * (1 - F.col("l_discount")))
+        .alias("price")
     )
+    return _rounded(pr.describe(lines, "price"))
 
 
 @query(
@@ -145,9 +164,26 @@ def flag_counts(spark, sf):
 SELECT cell_id, round(total / (SELECT median(total) FROM cell_sums), 6) AS size_factor FROM cell_sums""",
 )
 def size_factors(spark, sf):
-    cells = b.cells(spark, sf)
-    totals = pr.cell_totals(cells, b.expression(spark, sf))
-    return _rounded(pr.size_factors(totals, cells.count()))
+    return _rounded(pr.size_factors(pr.cell_totals(b.cells(spark, sf), b.expression(spark, sf))))
+
+
+@query(
+    "size_factors_with_empty_cells",
+    TOTALS
+    + """
+, all_cells AS (
+  SELECT cell_id, total FROM cell_sums UNION ALL
+  SELECT -vec_id - 1, CASE WHEN vec_id % 5 <> 2 THEN 0.0::DOUBLE END FROM embeddings)
+SELECT cell_id, round(total / nullif((SELECT median(total) FROM all_cells), 0), 6) AS size_factor FROM all_cells""",
+)
+def size_factors_with_empty_cells(spark, sf):
+    """Also cells without any entry, and some whose total is NaN."""
+    totals = pr.cell_totals(b.cells(spark, sf), b.expression(spark, sf)).select("cell_id", "total")
+    vec = F.col("vec_id")
+    empty = b.table(spark, sf, "embeddings").select(
+        (-vec - 1).alias("cell_id"), F.when(vec % 5 == 2, F.lit(float("nan"))).otherwise(F.lit(0.0)).alias("total")
+    )
+    return _rounded(pr.size_factors(totals.unionByName(empty)))
 
 
 @query(

@@ -62,15 +62,3 @@ def vector_sum(a: pa.Array, b: pa.Array) -> pa.Array:
         raise ValueError(f"vector widths differ: {x.shape[1]} and {y.shape[1]}")
     offsets = np.arange(0, x.size + 1, max(x.shape[1], 1), dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array((x + y).ravel()))
-
-
-def bucket_of(bounds: list[float]):
-    """A column function: how many of the ascending ``bounds`` lie below a value."""
-    limits = np.asarray(bounds, dtype=np.float64)
-
-    @F.arrow_udf(T.IntegerType())
-    def bucket(v: pa.Array) -> pa.Array:
-        place = np.searchsorted(limits, v.to_numpy(zero_copy_only=False), side="left")
-        return pa.array(place.astype(np.int32))
-
-    return bucket

@@ -4,10 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellshift.functions.vectors import cosine_distance
-from cellshift.operators import quantiles
+from cellshift.operators import ranks
 from cellshift.operators.cohorts import is_target, matched_classes
-from cellshift.operators.resting import resting_summary
 from cellshift.operators.specs import KEYS
+from cellshift.session import stored
 
 METRIC = "cosine_distance"
 
@@ -16,8 +16,8 @@ METRIC = "cosine_distance"
 
 
 def vector_bytes(vectors: DataFrame) -> int:
-    """Size of a table of vectors, counted in the cluster."""
-    return vectors.agg(F.sum(F.size("embedding").cast("bigint") * 4 + 32)).first()[0] or 0
+    """Size of a table of vectors as doubles, counted in the cluster."""
+    return vectors.agg(F.sum(F.size("embedding").cast("bigint") * 8 + 32)).first()[0] or 0
 
 
 def missing_embeddings(experiments: DataFrame, perturbed: DataFrame) -> DataFrame:
@@ -114,14 +114,18 @@ def with_target_flag(dist: DataFrame, cells: DataFrame, experiments: DataFrame)
     )
 
 
-def distance_summary(flagged: DataFrame, n_cells: int) -> DataFrame:
-    """Per experiment: all cells and the target subset; subset values null when empty.
+def _scopes(flag: str = "is_target") -> Column:
+    """The summaries a row counts in: all cells, and the targets where it is one."""
+    both = F.array(F.lit("all"), F.lit("target"))
+    return F.explode(F.when(F.col(flag), both).otherwise(F.array(F.lit("all")))).alias("scope")
 
-    ``n_cells`` bounds the rows of one experiment and picks the median method.
-    """
+
+def distance_summary(flagged: DataFrame) -> DataFrame:
+    """Per experiment: all cells and the target subset; subset values null when empty."""
+    rows = stored(flagged.select(*KEYS, "distance", "is_target"), "distances")
     d = F.col("distance")
     target = F.when(F.col("is_target"), d)
-    plain = [
+    plain = rows.groupBy(*KEYS).agg(
         F.count(d).alias("n_cells"),
         F.count(target).alias("n_target_cells"),
         F.avg(d).alias("mean_distance"),
@@ -129,21 +133,14 @@ def distance_summary(flagged: DataFrame, n_cells: int) -> DataFrame:
         F.min(d).alias("min_distance"),
         F.max(d).alias("max_distance"),
         F.avg(target).alias("mean_distance_target_subset"),
-    ]
-    if n_cells <= quantiles.BUFFER_ROWS:
-        return flagged.groupBy(*KEYS).agg(
-            *plain,
-            F.percentile(d, 0.5).alias("median_distance"),
-            F.percentile(target, 0.5).alias("median_distance_target_subset"),
-        )
-    subset = flagged.where("is_target")
-    medians = quantiles.percentiles(flagged, KEYS, "distance", [0.5], ["median_distance"], n_cells)
-    subset_medians = quantiles.percentiles(
-        subset, KEYS, "distance", [0.5], ["median_distance_target_subset"], n_cells
     )
-    return (
-        flagged.groupBy(*KEYS).agg(*plain).join(medians, KEYS).join(subset_medians, KEYS, "left")
+    scoped = rows.where("distance IS NOT NULL").select(*KEYS, _scopes(), d.alias("v"))
+    medians = ranks.percentiles(scoped, [*KEYS, "scope"], [0.5], ["median"])
+    of = lambda scope: F.max(F.when(F.col("scope") == scope, F.col("median")))
+    medians = medians.groupBy(*KEYS).agg(
+        of("all").alias("median_distance"), of("target").alias("median_distance_target_subset")
     )
+    return plain.join(medians, KEYS, "left")
 
 
 # --- comparison from changed cells only --------------------------------------
@@ -198,21 +195,14 @@ def _is_empty(vector: str):
     return ~F.exists(vector, lambda v: v != 0.0)
 
 
-def changed_summary(
-    dist: DataFrame, baseline: DataFrame, cells: DataFrame, experiments: DataFrame, n_cells: int
-) -> DataFrame:
+def changed_summary(dist: DataFrame, baseline: DataFrame, cells: DataFrame, experiments: DataFrame) -> DataFrame:
     """The same summary as ``distance_summary`` over all cells, from changed cells only.
 
-    A cell an experiment leaves alone is at distance 0 from its own baseline, or
-    at distance 1 when that baseline is the zero vector.  Those two blocks enter
-    as counts, taken from class sizes, instead of as rows.  Beyond the size a
-    buffer may have, ranks are looked up instead (see ``resting``).
+    A cell an experiment leaves alone is at distance 0 from its own baseline, or at
+    distance 1 when that baseline is the zero vector.  Those two blocks enter as counts,
+    taken from class sizes, instead of as rows; a rank that falls outside them is looked up
+    among the changed cells.  ``dist`` and ``baseline`` are stored tables.
     """
-    if n_cells > quantiles.BUFFER_ROWS:
-        rest = baseline.select(
-            "cell_id", F.when(_is_empty("vector"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("distance")
-        ).join(cells.select("cell_id", "donor", "cell_type"), "cell_id")
-        return resting_summary(dist, rest, experiments)
     marked = baseline.select("cell_id", _is_empty("vector").alias("empty")).join(
         cells.select("cell_id", "donor", "cell_type"), "cell_id"
     )
@@ -238,9 +228,6 @@ def changed_summary(
         F.avg(target).alias("ct_mean"),
         F.count_if(d <= 1.0).alias("low"),
         F.count_if(target <= 1.0).alias("t_low"),
-        # At most n_cells values, which were checked to fit.
-        F.array_sort(F.collect_list(d)).alias("ds"),
-        F.array_sort(F.collect_list(target)).alias("tds"),
     )
     counts = ["t", "t_empty", "c", "c_empty", "ct", "ct_empty", "low", "t_low"]
     parts = (
@@ -251,6 +238,7 @@ def changed_summary(
         .na.fill(0.0, ["c_mean", "c_var", "ct_mean"])
         .withColumn("all", totals.scalar())
         .select("*", "all.*")
+        .drop("all")
         .selectExpr(
             "*",
             "n - n_empty - c + c_empty AS zeros",
@@ -260,11 +248,9 @@ def changed_summary(
         )
         .withColumn("mean", F.expr("try_divide(c * c_mean + ones, n)"))
     )
-    parts = parts.withColumn(
-        "median", F.expr(_buffered_median("n", "zeros", "ones", "low", "ds"))
-    ).withColumn("t_median", F.expr(_buffered_median("t", "t_zeros", "t_ones", "t_low", "tds")))
+    parts = stored(parts, "summary-parts")
     edge = "CASE WHEN zeros > 0 THEN 0D END, CASE WHEN ones > 0 THEN 1D END"
-    return parts.selectExpr(
+    return parts.join(_medians(parts, dist), KEYS, "left").selectExpr(
         *KEYS,
         "n AS n_cells",
         "t AS n_target_cells",
@@ -279,13 +265,29 @@ def changed_summary(
     )
 
 
-def _buffered_median(n: str, zeros: str, ones: str, low: str, values: str) -> str:
-    def at(rank: str) -> str:
-        return (
-            f"CASE WHEN {rank} < {zeros} THEN 0D"
-            f" WHEN {rank} < {zeros} + {low} THEN {values}[int({rank} - {zeros})]"
-            f" WHEN {rank} < {zeros} + {low} + {ones} THEN 1D"
-            f" ELSE {values}[int({rank} - {zeros} - {ones})] END"
-        )
+def _medians(parts: DataFrame, dist: DataFrame) -> DataFrame:
+    """``median`` and ``t_median`` per experiment: the mean of the values at the two middle ranks.
 
-    return f"CASE WHEN {n} > 0 THEN ({at(f'(({n} - 1) div 2)')} + {at(f'({n} div 2)')}) / 2 END"
+    In order there are the zeros, the changed distances up to 1, the ones, and the rest of
+    the changed distances, so a middle rank is a 0, a 1 or a rank among the changed ones.
+    """
+    scopes = (("all", "n", "zeros", "ones", "low", "c"), ("target", "t", "t_zeros", "t_ones", "t_low", "ct"))
+    rows = ", ".join(f"struct('{s}' AS scope, {n} AS n, {z} AS zeros, {o} AS ones, {low} AS low, {c} AS c)" for s, n, z, o, low, c in scopes)
+    middles = (
+        parts.selectExpr(*KEYS, f"inline(array({rows}))")
+        .where("n > 0")
+        .selectExpr(*KEYS, "scope", "zeros", "ones", "low", "c", "explode(array((n - 1) div 2, n div 2)) AS at")
+        .selectExpr(
+            *KEYS,
+            "scope",
+            "c AS n",
+            "CASE WHEN at < zeros THEN 0D WHEN at >= zeros + low AND at < zeros + low + ones THEN 1D END AS fixed",
+            "CASE WHEN at < zeros + low THEN at - zeros ELSE at - zeros - ones END AS rank",
+        )
+    )
+    scoped = dist.where("distance IS NOT NULL").select(*KEYS, _scopes(), F.col("distance").alias("v"))
+    group = [*KEYS, "scope"]
+    found = ranks.at_ranks(scoped, group, middles.where("fixed IS NULL"))
+    at = middles.join(found, [*group, "rank"], "left").withColumn("value", F.coalesce("fixed", "value"))
+    of = lambda scope: F.avg(F.when(F.col("scope") == scope, F.col("value")))
+    return at.groupBy(*KEYS).agg(of("all").alias("median"), of("target").alias("t_median"))

@@ -2,12 +2,13 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellshift import model
-from cellshift.operators import quantiles
+from cellshift.operators import ranks
+from cellshift.session import stored
 
 
 def _totals(side: DataFrame, key: str, expression: DataFrame) -> DataFrame:
@@ -97,73 +98,54 @@ def percentile_names(probabilities: Sequence[float]) -> list[str]:
     return [f"p{round(p * 100):02d}" for p in probabilities]
 
 
-def _measures(x: Column) -> dict[str, Column]:
-    return {
-        "n": F.count(x),
-        "mean": F.avg(x),
-        "std": F.stddev_samp(x),
-        "min": F.min(x),
-        "max": F.max(x),
-    }
+def describe(
+    df: DataFrame, column: str, probabilities: Sequence[float] = model.PROFILE_PERCENTILES
+) -> DataFrame:
+    """One row: count, mean, sample std, min, percentiles, max; NaN counts as missing."""
+    return describe_columns(df, [column], probabilities).drop("column_name")
 
 
-def describe(
-    df: DataFrame,
-    column: str,
-    rows: int,
-    probabilities: Sequence[float] = model.PROFILE_PERCENTILES,
+def describe_columns(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = model.PROFILE_PERCENTILES
 ) -> DataFrame:
-    """One row: count, mean, sample std, min, percentiles, max.
+    """A row of ``column_name`` and the measures for every numeric column, from one pass over the rows."""
+    listed = F.array(*[_named("column_name", c, ranks.observed(F.col(c))) for c in columns])
+    return described(df.select(F.inline(listed)), ["column_name"], [(c,) for c in columns], probabilities)
 
-    ``rows`` bounds the rows of ``df``; it picks the percentile method.
-    """
-    return describe_columns(df, [column], rows, probabilities).select("measures.*")
 
+def _named(key: str, name: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias(key), value.alias("x"))
 
-def describe_columns(
-    df: DataFrame,
-    columns: Sequence[str],
-    rows: int,
-    probabilities: Sequence[float] = model.PROFILE_PERCENTILES,
+
+def described(
+    rows: DataFrame, keys: Sequence[str], groups: Sequence[tuple], probabilities: Sequence[float]
 ) -> DataFrame:
-    """``column_name, measures`` for several numeric columns from one pass over the rows."""
+    """``keys``, n, mean, std, min, percentiles and max of ``x`` for each of the ``groups``.
+
+    A group without a value has n 0 and nulls.
+    """
+    keys, x = list(keys), F.col("v")
+    data = ranks.values(rows, keys, F.col("x"))
+    measures = data.groupBy(*keys).agg(
+        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")
+    )
     names = percentile_names(probabilities)
-    buffered = rows <= quantiles.BUFFER_ROWS
-    points = F.array(*[F.lit(float(p)) for p in probabilities])
-    aggregates = []
-    for i, column in enumerate(columns):
-        x = F.col(column).cast("double")
-        aggregates += [m.alias(f"_{i}_{name}") for name, m in _measures(x).items()]
-        if buffered:
-            aggregates.append(F.percentile(x, points).alias(f"_{i}_p"))
-    one = df.agg(*aggregates)
-    if buffered:
-        for i, _ in enumerate(columns):
-            for j, name in enumerate(names):
-                one = one.withColumn(f"_{i}_{name}", F.col(f"_{i}_p")[j])
-    else:
-        for i, column in enumerate(columns):
-            x = df.select(F.col(column).cast("double").alias("x"))
-            found = quantiles.percentiles(
-                x, [], "x", probabilities, [f"_{i}_{name}" for name in names], rows
-            )
-            one = one.unionByName(found, allowMissingColumns=True)
-        one = one.agg(*[F.max(c).alias(c) for c in one.columns])
-    order = ["n", "mean", "std", "min", *names, "max"]
-    described = [
-        F.struct(
-            F.lit(column).alias("column_name"),
-            F.struct(*[F.col(f"_{i}_{c}").alias(c) for c in order]).alias("measures"),
-        )
-        for i, column in enumerate(columns)
-    ]
-    return one.select(F.inline(F.array(*described)))
+    found = ranks.percentiles(data, keys, probabilities, names).join(measures, keys)
+    listed = rows.sparkSession.createDataFrame(list(groups), ", ".join(f"{k} string" for k in keys))
+    return listed.join(found, keys, "left").select(
+        *keys, F.coalesce("n", F.lit(0)).alias("n"), "mean", "std", "min", *names, "max"
+    )
 
 
-def size_factors(totals: DataFrame, rows: int) -> DataFrame:
-    """Each cell's total divided by the median total; null where the median is 0."""
-    median = quantiles.percentiles(totals, [], "total", [0.5], ["median"], rows)
-    return totals.select("cell_id", F.try_divide(F.col("total"), median.scalar()).alias("size_factor"))
+def size_factors(totals: DataFrame) -> DataFrame:
+    """Each cell's total divided by the median total; null where the median is 0.
+
+    A total that is NaN takes no part in the median and has no factor.
+    """
+    known = stored(totals.select("cell_id", ranks.observed(F.col("total")).alias("total")), "totals")
+    rows = known.where("total IS NOT NULL").select(F.lit("total").alias("of"), F.col("total").alias("v"))
+    median = ranks.percentiles(rows, ["of"], [0.5], ["median"]).select("median")
+    return known.select("cell_id", F.try_divide(F.col("total"), median.scalar()).alias("size_factor"))
 
 
 def with_effects(df: DataFrame, effects: dict[str, DataFrame], name: str = "effect") -> DataFrame:
@@ -183,52 +165,40 @@ def first_rows(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def _long(df: DataFrame, section: str, name: Column, values: dict[str, str]) -> DataFrame:
+def _long(df: DataFrame, section: Column, name: Column, values: Sequence[str]) -> DataFrame:
     """Wide rows as (section, column_name, metric, value) rows."""
     pairs = F.array(
-        *[
-            F.struct(F.lit(metric).alias("metric"), F.col(c).cast("double").alias("value"))
-            for metric, c in values.items()
-        ]
+        *[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values]
     )
-    return df.select(F.lit(section).alias("section"), name.alias("column_name"), F.inline(pairs))
+    return df.select(section.alias("section"), name.alias("column_name"), F.inline(pairs))
 
 
-def _described(
-    df: DataFrame, section: str, columns: Sequence[str], rows: int, probabilities: Sequence[float]
+def top_categories(
+    tables: Sequence[tuple[str, DataFrame, Sequence[str]]], k: int, domains: dict[str, DataFrame] | None = None
 ) -> DataFrame:
-    order = ("n", "mean", "std", "min", *percentile_names(probabilities), "max")
-    wide = describe_columns(df, columns, rows, probabilities)
-    return _long(wide, section, F.col("column_name"), {c: f"measures.{c}" for c in order})
+    """``section, column_name, category, n``: the most frequent values of many columns, each table read once.
 
-
-def _column_profile(
-    side: DataFrame, section: str, key: str, k: int, rows: int, domains: dict[str, DataFrame]
-) -> list[DataFrame]:
-    out = []
-    for field in side.schema.fields:
-        if field.name == key:
-            continue
-        if isinstance(field.dataType, T.StringType):
-            counted = category_counts(side, field.name, k, domains.get(field.name))
-            metric = F.coalesce("category", F.lit("null"))
-        elif isinstance(field.dataType, T.BooleanType):
-            counted = flag_counts(side, field.name)
-            metric = F.coalesce(F.col("flag").cast("string"), F.lit("null"))
-        elif isinstance(field.dataType, T.NumericType):
-            out.append(_described(side, section, [field.name], rows, model.DESCRIBE_PERCENTILES))
-            continue
-        else:
-            continue
-        out.append(
-            counted.select(
-                F.lit(section).alias("section"),
-                F.lit(field.name).alias("column_name"),
-                metric.alias("metric"),
-                F.col("n").cast("double").alias("value"),
-            )
+    Like ``category_counts`` for every text or flag column of every (section, table, columns).
+    """
+    counts = None
+    for section, df, columns in tables:
+        cells = F.array(
+            *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category")) for c in columns]
         )
-    return out
+        part = df.select(F.lit(section).alias("section"), F.inline(cells), F.lit(1).cast("bigint").alias("n"))
+        for column in columns:
+            if column in (domains or {}):
+                named = domains[column].select(
+                    F.lit(section).alias("section"), F.lit(column).alias("column_name"),
+                    F.col("category").cast("string"), F.lit(0).cast("bigint").alias("n"),
+                )
+                part = part.unionByName(named)
+        counts = part if counts is None else counts.unionByName(part)
+    group = ["section", "column_name"]
+    counts = counts.groupBy(*group, "category").agg(F.sum("n").alias("n"))
+    # tasks keep k rows a column each before any of them travels
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("n"), F.asc_nulls_last("category")))
+    return counts.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
 
 
 def dataset_profile(
@@ -238,18 +208,44 @@ def dataset_profile(
     k: int = 20,
     domains: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The whole profile as one long table (section, column_name, metric, value)."""
-    n_cells, n_genes = cells.count(), genes.count()
+    """The whole profile as one long table (section, column_name, metric, value).
+
+    The matrix is read by one aggregate over (cell, gene) grouped both ways and by its
+    overview; the side tables once for their categories and once for their numbers.
+    """
+    expression = stored(expression, "matrix")
     overview = matrix_overview(cells, genes, expression)
-    parts = [_long(overview, "matrix", F.lit("value"), {c: c for c in overview.columns})]
-    for section, totals, rows in (
-        ("cell", cell_totals(cells, expression), n_cells),
-        ("gene", gene_totals(genes, expression), n_genes),
-    ):
-        columns = ("total", "detected")
-        parts.append(_described(totals, section, columns, rows, model.PROFILE_PERCENTILES))
-    parts += _column_profile(cells, "cells", "cell_id", k, n_cells, domains or {})
-    parts += _column_profile(genes, "genes", "gene_symbol", k, n_genes, domains or {})
+    parts = [_long(overview, F.lit("matrix"), F.lit("value"), overview.columns)]
+    numbers, groups, texts, shown = [], [], [], []
+    for section, totals in (("cell", cell_totals(cells, expression)), ("gene", gene_totals(genes, expression))):
+        numbers.append((section, totals, ("total", "detected")))
+    for section, side, key in (("cells", cells, "cell_id"), ("genes", genes, "gene_symbol")):
+        kinds = {f.name: f.dataType for f in side.schema.fields if f.name != key}
+        numeric = [c for c, kind in kinds.items() if isinstance(kind, T.NumericType)]
+        listed = [c for c, kind in kinds.items() if isinstance(kind, (T.StringType, T.BooleanType))]
+        if numeric:
+            shown.append((section, side, numeric))
+        if listed:
+            texts.append((section, side, listed))
+    for batch, probabilities in ((numbers, model.PROFILE_PERCENTILES), (shown, model.DESCRIBE_PERCENTILES)):
+        if not batch:
+            continue
+        rows, groups = None, []
+        for section, df, columns in batch:
+            listed = F.array(*[_named("column_name", c, ranks.observed(F.col(c))) for c in columns])
+            part = df.select(F.lit(section).alias("section"), F.inline(listed))
+            rows = part if rows is None else rows.unionByName(part)
+            groups += [(section, c) for c in columns]
+        wide = described(rows, ["section", "column_name"], groups, probabilities)
+        order = ("n", "mean", "std", "min", *percentile_names(probabilities), "max")
+        parts.append(_long(wide, F.col("section"), F.col("column_name"), order))
+    if texts:
+        metric = F.coalesce("category", F.lit("null"))
+        parts.append(
+            top_categories(texts, k, domains).select(
+                "section", "column_name", metric.alias("metric"), F.col("n").cast("double").alias("value")
+            )
+        )
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

@@ -264,7 +264,6 @@ def compare_runs(
         compare.lost_vectors(manifest, changed, dataset.cells), "stored vectors are not those of the run"
     )
     path = place(root, "silver/distances")
-    n_cells = dataset.cells.count()
     pairs = changed.join(
         own.select("cell_id", F.col("embedding").cast("array<double>").alias("before")), "cell_id"
     ).select(*KEYS, "cell_id", "before", compare.of_width("embedding", dim).alias("after"))
@@ -272,7 +271,7 @@ def compare_runs(
         dist = compare.changed_distances(pairs, dataset.cells, manifest)
         tables.write_by_experiment(path, dist)
         dist = _read_distances(spark, path, dist, runs)
-        summaries = compare.changed_summary(dist, _as_vector(own), dataset.cells, manifest, n_cells)
+        summaries = compare.changed_summary(dist, _as_vector(own), dataset.cells, manifest)
     else:
         named = own.select(F.lit("").alias("run_id"), F.lit("").alias("experiment_id"), "*")
         sp.require_none(

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from cellshift.operators import compare, embed, quality, quantiles, specs as sp
+from cellshift.operators import compare, embed, quality, specs as sp
 from cellshift.plans import jobs
 from cellshift.plans.layout import of_runs
 from cellshift.session import shared_path
@@ -256,17 +256,3 @@ def test_only_the_runs_asked_for_are_read(spark, root):
 def test_unknown_model_is_refused(spark, dataset):
     with pytest.raises(ValueError, match="unsupported model"):
         jobs.run_types(spark, "/nowhere", dataset, fx.specs(spark), "c", DIM, "other_model")
-
-
-def test_sparse_summary_without_buffers(spark, dataset, monkeypatch):
-    """Groups beyond the buffer size take the rank path; results stay the same."""
-    monkeypatch.setattr(quantiles, "BUFFER_ROWS", 0)
-    numbered = sp.with_experiment_ids(fx.specs(spark).withColumn("run_id", F.lit("r")))
-    from cellshift.operators import perturb
-
-    delta = perturb.delta_table(numbered, dataset.cells, dataset.genes, dataset.expression)
-    base = embed.baseline_embeddings(dataset.cells, dataset.expression, DIM)
-    changed = embed.changed_embeddings(delta, base, DIM)
-    dist = compare.changed_distances(changed, dataset.cells, numbered)
-    summary = compare.changed_summary(dist, base, dataset.cells, numbered, 12)
-    assert_summaries(summary.join(numbered.select(*sp.KEYS, "position"), sp.KEYS), fx.SPECS)

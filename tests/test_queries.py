@@ -3,7 +3,6 @@
 import pytest
 
 import __spark_entry__ as entry
-from cellshift.operators import quantiles
 from tests.oracle import compare
 
 SF = "/root/testdata/sf0.001"
@@ -21,13 +20,3 @@ def test_every_oracle_belongs_to_a_query():
 
 def test_entry_gives_one_row_per_experiment(spark):
     assert entry.entry(spark).count() == spark.read.parquet(f"{SF}/supplier.parquet").count()
-
-
-@pytest.mark.parametrize(
-    "name", ["dataset_profile", "size_factors", "distance_summaries", "experiment_comparison"]
-)
-def test_results_do_not_depend_on_buffers(spark, monkeypatch, name):
-    """With no buffer allowed at all, ranks are looked up and give the same results."""
-    monkeypatch.setattr(quantiles, "BUFFER_ROWS", 0)
-    _, problem = compare(spark, SF, name, entry.queries()[name], entry.oracle_sql()[name])
-    assert problem is None

@@ -2,6 +2,8 @@
 
 import json
 import math
+import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from cellshift.operators import (
     perturb,
     profile,
     quality,
-    quantiles,
+    ranks,
     resting,
     specs as sp,
 )
@@ -177,7 +179,7 @@ def test_overview_of_nothing(spark):
 
 def test_describe_uses_the_sample_deviation(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4)], "x double")
-    row = profile.describe(df, "x", 4).first()
+    row = profile.describe(df, "x").first()
     assert row.std == pytest.approx(math.sqrt(5 / 3))
     assert row.p50 == 2.5 and row.p01 == pytest.approx(1.03)
 
@@ -185,37 +187,81 @@ def test_describe_uses_the_sample_deviation(spark):
 # --- percentiles -------------------------------------------------------------
 
 
-def test_ranked_percentiles_equal_the_built_in(spark):
-    """One group holds most rows, a third of them one value."""
-    rows = [("hot", float((i * 7919) % 10007 if i % 3 else 5)) for i in range(6000)]
-    rows += [("few", 2.0), ("few", 4.0), ("one", 9.0)] + [("flat", 1.0)] * 50 + [("hot", None)]
-    df = spark.createDataFrame(rows, "k string, v double")
-    probabilities, names = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0], list("abcdef")
-    built_in = quantiles.percentiles(df, ["k"], "v", probabilities, names, len(rows))
-    ranked = quantiles.percentiles(df, ["k"], "v", probabilities, names, quantiles.BUFFER_ROWS + 1)
-    want = {r.k: tuple(r[n] for n in names) for r in built_in.collect()}
-    got = {r.k: tuple(r[n] for n in names) for r in ranked.collect()}
-    assert got.keys() == want.keys()
-    for k in want:
-        assert got[k] == pytest.approx(want[k])
-    whole = quantiles.percentiles(df, [], "v", [0.5], ["m"], quantiles.BUFFER_ROWS + 1).first().m
-    assert whole == pytest.approx(df.agg(F.percentile("v", 0.5)).first()[0])
-
-
-def test_dense_summary_is_the_same_on_both_median_paths(spark, monkeypatch):
-    rows = [("r", f"exp_{e:04d}", c, ((c * 37 + e * 11) % 101) / 50, c % 4 == e) for e in range(4) for c in range(200)]
-    flagged = spark.createDataFrame(
-        rows, "run_id string, experiment_id string, cell_id bigint, distance double, is_target boolean"
+def test_order_keys_are_those_of_doubles(spark):
+    """Every power of two with its neighbours, subnormal numbers, zeros, infinities, NaN, random bits."""
+    random.seed(3)
+    powers = [2.0**e for e in range(-1074, 1024)]
+    numbers = [math.nextafter(p, towards) for p in powers for towards in (0.0, p, math.inf)]
+    numbers += [struct.unpack("d", random.randbytes(8))[0] for _ in range(3000)]
+    numbers += [0.0, -0.0, math.inf, math.nan, *[-x for x in numbers if not math.isnan(x)]]
+    df = spark.createDataFrame([(x,) for x in numbers], "v double")
+    for r in ranks.with_order_key(df, "v", "key").collect():
+        bits = struct.unpack("q", struct.pack("d", abs(r.v)))[0] if r.v == r.v else 0x7FF8 << 48
+        assert r.key == (-bits if r.v < 0 else bits)
+
+
+def test_percentiles_equal_the_built_in_at_any_size(spark):
+    """Groups of one row and of many blocks; a third of the rows are one value, others lie close together."""
+    n = 4 * ranks.BLOCK
+    x = (
+        F.when(F.col("id") % 3 == 0, F.lit(1.5))
+        .when(F.col("id") % 5 == 0, 1.5 + F.col("id") * 2.0**-50)
+        .otherwise((F.col("id") * 7919 % 100003 - 40000) * F.pow(F.lit(10.0), F.col("id") % 7 - 3))
     )
-    order = ["experiment_id"]
-    small = compare.distance_summary(flagged, 200).orderBy(order)
-    columns = small.columns
-    wanted = [tuple(r) for r in small.collect()]
-    monkeypatch.setattr(quantiles, "BUFFER_ROWS", 0)
-    got = compare.distance_summary(flagged, 200).select(*columns).orderBy(order).collect()
-    for a, b in zip(got, wanted):
-        assert tuple(a)[:2] == b[:2]
-        assert tuple(a)[2:] == pytest.approx(b[2:])
+    df = spark.range(n).select(F.when(F.col("id") < n - 40, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("k"), x.alias("x"))
+    df = df.unionByName(spark.createDataFrame([("one", 9.0), ("flat", 1.0), ("flat", 1.0), ("two", -math.inf), ("two", math.inf), ("hot", None), ("none", None)], "k string, x double"))
+    probabilities, names = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0], list("abcdefg")
+    data = ranks.values(df, ["k"], F.col("x"))
+    got = {r.k: tuple(r)[2:] for r in ranks.percentiles(data, ["k"], probabilities, names).where("k <> 'two'").collect()}
+    built_in = F.percentile("x", F.array(*[F.lit(p) for p in probabilities])).alias("p")
+    want = {r.k: tuple(r.p) for r in df.where("k NOT IN ('two', 'none')").groupBy("k").agg(built_in).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-15) for k in want)
+    ends = ranks.percentiles(data.where("k = 'two'"), ["k"], [0.0, 0.5, 1.0], ["low", "mid", "high"]).first()
+    assert (ends.low, ends.high) == (-math.inf, math.inf)
+    assert ranks.percentiles(data.limit(0), ["k"], [0.5], ["m"]).count() == 0
+
+
+def test_nan_is_above_all_numbers_and_missing_in_descriptions(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (math.nan,), (None,)], "x double")
+    at = ranks.percentiles(ranks.values(df.withColumn("k", F.lit("a")), ["k"], F.col("x")), ["k"], [0.5, 1.0], ["m", "top"]).first()
+    assert at.n == 4 and at.m == 2.5 and math.isnan(at.top)
+    row = profile.describe(df, "x").first()
+    assert (row.n, row.mean, row.p50, row.p99, row["max"]) == (3, 2.0, 2.0, pytest.approx(2.98), 3.0)
+    nothing = profile.describe(df.where("x IS NULL"), "x").first()
+    assert nothing.n == 0 and nothing.p50 is None and nothing["max"] is None
+
+
+def test_top_categories_equal_one_column_at_a_time(spark):
+    df = spark.createDataFrame([(i, f"c{i * i % 11}", None if i % 4 == 0 else f"d{i % 30:02d}", i % 3 == 0) for i in range(90)], "id long, a string, b string, f boolean")
+    domain = {"a": spark.createDataFrame([("c1",), ("zz",)], "category string")}
+    got = profile.top_categories([("s", df, ["a", "b", "f"])], 12, domain).collect()
+    for column in ("a", "b", "f"):
+        one = profile.category_counts(df, column, 12, domain.get(column)).collect()
+        assert {(r.category, r.n) for r in got if r.column_name == column} == {(r.category, r.n) for r in one}
+
+
+def test_ranks_of_unions_equal_sorting_them(spark):
+    """Unions of large shared classes with some values taken out and others put in."""
+    random.seed(11)
+    classes = {c: [random.choice([0.0, 0.5, random.random(), 1 + random.random() * 1e-9]) for _ in range(3000)] for c in "abc"}
+    unions = {"k1": "a", "k2": "abc", "k3": "bc", "k4": ""}
+    counted = [(c, v, vs.count(v)) for c, vs in classes.items() for v in set(vs)]
+    shared = spark.createDataFrame(counted, "cid string, v double, n long")
+    members = spark.createDataFrame([(k, c) for k, cs in unions.items() for c in cs], "k string, cid string")
+    held, own, wanted = {}, [], []
+    for k, cs in unions.items():
+        every = [v for c in cs for v in classes[c]]
+        gone = random.sample(every, len(every) // 3)
+        more = [random.random() * 2 for _ in range(700)]
+        own += [(k, v, more.count(v) - gone.count(v)) for v in {*gone, *more}]
+        for v in gone:
+            every.remove(v)
+        held[k] = sorted(every + more)
+        size = len(held[k])
+        wanted += [(k, r, size) for r in {0, size // 4, (size - 1) // 2, size // 2, size - 1, size}]
+    frames = [spark.createDataFrame(own, "k string, v double, n long"), ["k"], spark.createDataFrame(wanted, "k string, rank long, n long")]
+    got = {(r.k, r.rank): r.value for r in ranks.at_ranks_of_unions(shared, members, *frames).collect()}
+    assert got == {(k, r): held[k][r] for k, r, size in wanted if r < size}
 
 
 def test_resting_summary_equals_brute_force(spark):
@@ -239,7 +285,7 @@ def test_resting_summary_equals_brute_force(spark):
         [("r", e, c, v, cells[c][3], target(e, cells[c][1], cells[c][2])) for (e, c), v in moved.items()],
         "run_id string, experiment_id string, cell_id bigint, distance double, rest double, is_target boolean",
     )
-    got = {r.experiment_id: r for r in resting.resting_summary(dist, rest, specs, buckets=8).collect()}
+    got = {r.experiment_id: r for r in resting.resting_summary(dist, rest, specs).collect()}
     for e in lists:
         values = [moved.get((e, c), cells[c][3]) for c in range(300)]
         subset = [moved.get((e, c), cells[c][3]) for c in range(300) if target(e, cells[c][1], cells[c][2])]
