@@ -13,7 +13,7 @@ from cellshift import model
 from cellshift.operators.specs import with_experiment_ids
 
 RUN = "run_all"
-DIM = 16  # width of the projected embedding in the registered queries
+DIM = model.EMBEDDING_DIM  # width of the projected embedding in the registered queries
 
 # Fixed value: the market segments of the driver's customer table.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")

@@ -137,9 +137,9 @@ def baseline_width(spark, sf):
 
 DIMS_SQL = f"""
 dims AS (SELECT unnest(range({b.DIM})) AS d),
-codes AS (SELECT gene_symbol, (('0x' || substr(md5(gene_symbol::VARCHAR), 1, 6))::BIGINT * 7919 + {{seed}}) % 1000 AS code
+codes AS (SELECT gene_symbol, (('0x' || substr(md5(gene_symbol::VARCHAR), 1, 6))::BIGINT * 7919 + {{seed}}) % {embed.MODULUS} AS code
   FROM genes),
-weights AS (SELECT gene_symbol, d, ((code + d * 104729) % 1000) / 1000 - 0.5 AS w FROM codes CROSS JOIN dims)"""
+weights AS (SELECT gene_symbol, d, ((code + d * {embed.STEP}) % {embed.MODULUS}) / {embed.MODULUS}::DOUBLE - 0.5 AS w FROM codes CROSS JOIN dims)"""
 
 BASE_SQL = """
 base AS (
@@ -152,13 +152,20 @@ base AS (
 @query(
     "baseline_embeddings",
     b.with_sql(b.MATRIX_SQL, DIMS_SQL.format(seed=331), BASE_SQL)
-    + "SELECT cell_id, d::INTEGER AS d, round(v, 5) AS v FROM base",
+    + """
+SELECT cell_id, (d // 64)::INTEGER AS block, round(sum(v), 4) AS total,
+  round(sum(v * (d % 64 + 1)), 3) AS by_position FROM base GROUP BY 1, 2""",
 )
 def baseline_embeddings(spark, sf):
     vectors = embed.baseline_embeddings(
         b.cells(spark, sf), b.expression(spark, sf), b.DIM, "mock_foundation_model_2"
     )
-    return vectors.select("cell_id", F.posexplode("vector").alias("d", "v")).withColumn("v", F.round("v", 5))
+    d = F.col("d")
+    return (
+        vectors.select("cell_id", F.posexplode("vector").alias("d", "v"))
+        .groupBy("cell_id", F.floor(d / 64).cast("int").alias("block"))
+        .agg(F.round(F.sum("v"), 4).alias("total"), F.round(F.sum(F.col("v") * (d % 64 + 1)), 3).alias("by_position"))
+    )
 
 
 def value_sums(genes, values):
@@ -185,28 +192,42 @@ def user_model_embeddings(spark, sf):
     )
 
 
-CHAIN_SQL = (
-    b.with_sql(b.MATRIX_SQL, b.SPECS_SQL, b.EFFECT_SQL, DIMS_SQL.format(seed=0), BASE_SQL)
-    + """
-, moves AS (
-  SELECT experiment_id, cell_id, d, sum((ln(1 + new_value) - ln(1 + old_value)) * w) AS v
-  FROM touched JOIN weights USING (gene_symbol) GROUP BY 1, 2, 3),
-after AS (
-  SELECT experiment_id, cell_id, sum(b.v * (b.v + coalesce(m.v, 0))) AS ab,
-    sqrt(sum((b.v + coalesce(m.v, 0)) ** 2)) AS na, sqrt(sum(b.v ** 2)) AS nb
-  FROM (SELECT experiment_id, cell_id, d, v FROM typed CROSS JOIN base) b
-  LEFT JOIN moves m USING (experiment_id, cell_id, d) GROUP BY 1, 2),
-far AS (
-  SELECT experiment_id, cell_id, 1 - greatest(-1, least(1, ab / greatest(na * nb, 1e-8))) AS distance FROM after),
+FLAGS_SQL = """
 flags AS (
   SELECT f.experiment_id, f.cell_id, distance,
     (coalesce(len(target_donors), 0) = 0 OR list_contains(target_donors, donor))
     AND (coalesce(len(target_cell_types), 0) = 0 OR list_contains(target_cell_types, cell_type)) AS is_target
-  FROM far f JOIN typed USING (experiment_id) JOIN cells c ON c.cell_id = f.cell_id)
-SELECT 'run_all' AS run_id, experiment_id, """
-    + SUMMARY_SQL
-    + " FROM flags GROUP BY 2"
-)
+  FROM far f JOIN typed USING (experiment_id) JOIN cells c ON c.cell_id = f.cell_id)"""
+
+MOVES_SQL = """
+moves AS (
+  SELECT experiment_id, cell_id, d, sum((ln(1 + new_value) - ln(1 + old_value)) * w) AS v
+  FROM touched JOIN weights USING (gene_symbol) GROUP BY 1, 2, 3)"""
+
+
+def chain_sql(stored_as: str = "DOUBLE", against: str = "b.b") -> str:
+    """Specs to flagged distances; ``stored_as`` is the type vectors are kept in, ``against`` the other vector."""
+    return b.with_sql(
+        b.MATRIX_SQL,
+        b.SPECS_SQL,
+        b.EFFECT_SQL,
+        DIMS_SQL.format(seed=0),
+        BASE_SQL,
+        MOVES_SQL,
+        f"""
+kept AS (SELECT cell_id, d, v::{stored_as}::DOUBLE AS b FROM base),
+pairs AS (
+  SELECT b.experiment_id, b.cell_id, (b.b + coalesce(m.v, 0))::{stored_as}::DOUBLE AS a, ({against})::{stored_as}::DOUBLE AS o
+  FROM (SELECT experiment_id, k.* FROM typed CROSS JOIN kept k) b LEFT JOIN moves m USING (experiment_id, cell_id, d)),
+after AS (
+  SELECT experiment_id, cell_id, sum(a * o) AS ab, sqrt(sum(a * a)) AS na, sqrt(sum(o * o)) AS nb FROM pairs GROUP BY 1, 2),
+far AS (
+  SELECT experiment_id, cell_id, 1 - greatest(-1, least(1, ab / greatest(na * nb, 1e-8))) AS distance FROM after)""",
+        FLAGS_SQL,
+    )
+
+
+CHAIN_SQL = chain_sql() + "SELECT 'run_all' AS run_id, experiment_id, " + SUMMARY_SQL + " FROM flags GROUP BY 2"
 
 
 def chain(spark, sf):

@@ -251,7 +251,7 @@ def ui_records(spark, sf):
     + RECORDS_SQL
     + """
 SELECT run_id, experiment_id, r.perturbation_type, delta, fold_change,
-  (SELECT count(*) FROM cells) AS n_rows, 16::BIGINT AS width, r.n_target_cells
+  (SELECT count(*) FROM cells) AS n_rows, 512::BIGINT AS width, r.n_target_cells
 FROM records r JOIN typed USING (experiment_id)""",
 )
 def experiment_metadata(spark, sf):

@@ -3,11 +3,14 @@
 The built-in model is a fixed projection, ``sum over genes of log1p(value) *
 w(gene, d)``.  The weight needs the gene's name only, so no gene table is
 joined, and the model is linear in ``log1p(value)``: a perturbed vector is the
-baseline vector plus the projected change of the touched entries.
+baseline vector plus the projected change of the touched entries.  A user's model is
+any function of whole cells (``UserModel``); it sees the perturbed row of every cell an
+experiment changes.
 """
 
 import sys
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,8 @@ from cellshift.operators.specs import KEYS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CHUNK = 64  # sums per aggregate; keeps generated code small at any width
+#: Weights repeat after this prime, above which a gene's code seldom lies; positions are this far apart.
+MODULUS, STEP = 16_777_213, 6_700_417
 
 
 def model_table(spark) -> DataFrame:
@@ -67,7 +72,7 @@ def _projected(
     entries: DataFrame, keys: Sequence[str], amount: Column, dim: int, seed: int
 ) -> DataFrame:
     """``keys`` and ``vector``, the sum of amount * weight for each position."""
-    base = (gene_code(F.col("gene_symbol")) * 7919 + seed) % 1000
+    base = (gene_code(F.col("gene_symbol")) * 7919 + seed) % MODULUS
     rows = entries.select(*keys, amount.alias("_x"), base.alias("_b"))
     chunks = -(-dim // _CHUNK)
     width = min(dim, _CHUNK)
@@ -76,10 +81,10 @@ def _projected(
     else:
         rows = rows.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     rows = rows.select(
-        *keys, "_x", "_c", (F.col("_b") + F.col("_c") * (width * 104729 % 1000)).alias("_b")
+        *keys, "_x", "_c", (F.col("_b") + F.col("_c") * (width * STEP % MODULUS)).alias("_b")
     )
     sums = [
-        F.expr(f"sum(_x * ((_b + {j * 104729 % 1000}) % 1000 / 1000D - 0.5D))").alias(f"_s{j}")
+        F.expr(f"sum(_x * ((_b + {j * STEP % MODULUS}) % {MODULUS} / {MODULUS}D - 0.5D))").alias(f"_s{j}")
         for j in range(width)
     ]
     group = list(keys) if chunks == 1 else [*keys, "_c"]
@@ -125,9 +130,128 @@ def changed_embeddings(
 
 # --- user models -------------------------------------------------------------
 
-# A user model: (gene arrays, value arrays), one pair of arrays per cell -> matrix.
+# What a user model computes: (gene arrays, value arrays), one pair of arrays per cell -> matrix.
 Model = Callable[[Sequence[np.ndarray], Sequence[np.ndarray]], np.ndarray]
 
+CHANGES = 256  # most experiments that share one copy of a cell's row
+CALL = 256  # most cells in one call of a model
+
+
+@dataclass(frozen=True)
+class UserModel:
+    """A model of the user's own: what identifies it, and its function of whole cells."""
+
+    name: str
+    version: str
+    fn: Model
+
+
+def identity(chosen: "str | UserModel | None") -> tuple[str, str]:
+    """Name and version of a model; an unknown name is an error."""
+    if isinstance(chosen, UserModel):
+        return chosen.name, chosen.version
+    model_seed(chosen)
+    return chosen or model.MODEL_NAMES[0], model.MODEL_VERSION
+
+
+def baseline_of(cells: DataFrame, expression: DataFrame, dim: int, chosen: "str | UserModel | None") -> DataFrame:
+    """``cell_id, vector`` of every cell, by the built-in or a user's model."""
+    if not isinstance(chosen, UserModel):
+        return baseline_embeddings(cells, expression, dim, chosen)
+    out = embed_with(expression, ["cell_id"], chosen.fn, dim, cells)
+    return out.select("cell_id", F.col("embedding").cast("array<double>").alias("vector"))
+
+
+def changed_of(
+    delta: DataFrame, baseline: DataFrame, expression: DataFrame, dim: int, chosen: "str | UserModel | None"
+) -> DataFrame:
+    """``run_id, experiment_id, cell_id, before, after`` of the cells an experiment changes."""
+    if not isinstance(chosen, UserModel):
+        return changed_embeddings(delta, baseline, dim, chosen)
+    after = embed_changed(delta, expression, chosen.fn, dim)
+    return after.join(baseline.withColumnRenamed("vector", "before"), "cell_id").select(
+        *KEYS, "cell_id", "before", F.col("embedding").cast("array<double>").alias("after")
+    )
+
+
+def _row_of(entries: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """The entries of each key as one array in the order of the genes."""
+    entry = F.struct("gene_symbol", F.col(value).cast("double").alias("value"))
+    return entries.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias(name))
+
+
+def embed_changed(delta: DataFrame, expression: DataFrame, fn: Model, dim: int) -> DataFrame:
+    """Run ``fn`` over the changed cells of all experiments: ``run_id, experiment_id, cell_id, embedding``.
+
+    A cell's stored row meets the changes of up to ``CHANGES`` experiments at once, so it
+    travels once for that many and not once an experiment.  Changes are dealt by a hash of
+    the experiment, as many ways as the number of experiments asks for.  An entry set to 0
+    is no entry.
+    """
+    effective = delta.where(F.col("new_value") != F.col("old_value"))
+    n = delta.select(*KEYS).distinct().count()  # one number
+    chunk = F.pmod(F.xxhash64(*KEYS), F.lit(-(-n // CHANGES) or 1))
+    changes = (
+        _row_of(effective, [*KEYS, "cell_id"], "new_value", "e")
+        .groupBy("cell_id", chunk.alias("chunk"))
+        .agg(F.collect_list(F.struct(*KEYS, "e")).alias("changes"))
+    )
+    touched = effective.select("cell_id").distinct()
+    rows = _row_of(expression.join(touched, "cell_id", "left_semi"), ["cell_id"], "value", "base")
+    met = changes.join(rows, "cell_id", "left")
+    empty = F.array().cast(rows.schema["base"].dataType)
+    met = met.select("cell_id", F.coalesce("base", empty).alias("base"), "changes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            waiting = []
+            for i in range(batch.num_rows):
+                genes, values = _arrays(batch.column("base")[i].values)
+                for change in batch.column("changes")[i]:
+                    keys = [change[k].as_py() for k in KEYS]
+                    row = _changed_row(genes, values, *_arrays(change["e"].values))
+                    waiting.append((*keys, i, *row))
+                    if len(waiting) == CALL:
+                        yield _called(fn, dim, batch, waiting)
+                        waiting = []
+            if waiting:
+                yield _called(fn, dim, batch, waiting)
+
+    cell = met.schema["cell_id"].dataType.simpleString()
+    schema = f"run_id string, experiment_id string, cell_id {cell}, embedding array<float>"
+    return met.mapInArrow(run, schema)
+
+
+def _arrays(entries: pa.StructArray | None) -> tuple[np.ndarray, np.ndarray]:
+    if entries is None:
+        return np.empty(0), np.empty(0)
+    return tuple(entries.field(name).to_numpy(zero_copy_only=False) for name in ("gene_symbol", "value"))
+
+
+def _changed_row(genes, values, new_genes, new_values) -> tuple[np.ndarray, np.ndarray]:
+    """A row with some entries replaced, in the order of the genes; zeros leave it."""
+    kept = ~np.isin(genes, new_genes)
+    genes = np.concatenate([genes[kept], new_genes]) if len(genes) else new_genes
+    values = np.concatenate([values[kept], new_values]) if len(values) else new_values
+    order = np.argsort(genes, kind="stable")
+    order = order[values[order] != 0]
+    return genes[order], values[order]
+
+
+def _as_lists(matrix: np.ndarray, n: int, dim: int) -> pa.ListArray:
+    out = np.asarray(matrix, dtype=np.float32)
+    if out.shape != (n, dim):
+        raise ValueError(f"model returned shape {out.shape}, expected {(n, dim)}")
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)), pa.array(out.ravel()))
+
+
+def _called(fn: Model, dim: int, batch: pa.RecordBatch, waiting: list[tuple]) -> pa.RecordBatch:
+    runs, experiments, rows, genes, values = zip(*waiting)
+    vectors = _as_lists(fn(genes, values), len(waiting), dim)
+    cells = batch.column("cell_id").take(pa.array(rows))
+    names = [*KEYS, "cell_id", "embedding"]
+    return pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(experiments, pa.string()), cells, vectors], names=names)
+
 
 def embed_with(
     matrix: DataFrame, keys: Sequence[str], fn: Model, dim: int, rows_of: DataFrame | None = None
@@ -140,11 +264,8 @@ def embed_with(
     empty arrays.  Without it only rows with entries have a vector.
     """
     keys = list(keys)
-    entry = F.struct("gene_symbol", F.col("value").cast("double").alias("value"))
-    rows = (
-        matrix.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(entry)).alias("e"))
-        .select(*keys, F.col("e.gene_symbol").alias("genes"), F.col("e.value").alias("values"))
+    rows = _row_of(matrix, keys, "value", "e").select(
+        *keys, F.col("e.gene_symbol").alias("genes"), F.col("e.value").alias("values")
     )
     if rows_of is not None:
         kinds = rows.schema
@@ -157,11 +278,7 @@ def embed_with(
         for batch in batches:
             genes = [g.values.to_numpy(zero_copy_only=False) for g in batch.column("genes")]
             values = [v.values.to_numpy(zero_copy_only=False) for v in batch.column("values")]
-            out = np.asarray(fn(genes, values), dtype=np.float32)
-            if out.shape != (batch.num_rows, dim):
-                raise ValueError(f"model returned shape {out.shape}, expected {(batch.num_rows, dim)}")
-            offsets = np.arange(0, (batch.num_rows + 1) * dim, dim, dtype=np.int32)
-            vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+            vectors = _as_lists(fn(genes, values), batch.num_rows, dim)
             columns = [batch.column(k) for k in keys] + [vectors]
             yield pa.RecordBatch.from_arrays(columns, names=[*keys, "embedding"])
 

@@ -48,15 +48,17 @@ def _vector_schema(dataset: Dataset) -> str:
     return f"cell_id {kind}, embedding array<float>"
 
 
+Chosen = str | embed.UserModel | None  # a built-in model by name, or the user's own
+
+
 def baseline(
-    spark: SparkSession, root: str, dataset: Dataset, dim: int, model_name: str | None
+    spark: SparkSession, root: str, dataset: Dataset, dim: int, model_name: Chosen
 ) -> DataFrame:
     """The baseline vectors of a dataset and model, computed once and stored."""
-    name = model_name or model.MODEL_NAMES[0]
-    key = f"{name}-{dim}-{dataset.fingerprint}"
+    key = "-".join([*embed.identity(model_name), str(dim), dataset.fingerprint])
     path, marks = place(root, "silver/baseline", key), place(root, "silver/baseline_done")
     if not _marked(spark, marks, key):
-        vectors = embed.baseline_embeddings(dataset.cells, dataset.expression, dim, name)
+        vectors = embed.baseline_of(dataset.cells, dataset.expression, dim, model_name)
         single = F.col("vector").cast("array<float>").alias("embedding")
         vectors.select("cell_id", single).write.mode("overwrite").parquet(path)
         spark.createDataFrame([(key,)], "key string").write.mode("append").parquet(marks)
@@ -78,7 +80,7 @@ def run_experiments(
     specs: DataFrame,
     runs: DataFrame,
     dim: int = model.EMBEDDING_DIM,
-    model_name: str | None = None,
+    model_name: Chosen = None,
     declared: DataFrame | None = None,
 ) -> None:
     """Run the experiments of all given runs and store them.
@@ -95,7 +97,7 @@ def run_experiments(
     numbered = stored(sp.renumbered_experiment_ids(specs), "specs")
     base = _as_vector(baseline(spark, root, dataset, dim, model_name))
     delta = perturb.delta_table(numbered, dataset.cells, dataset.genes, dataset.expression)
-    changed = embed.changed_embeddings(delta, base, dim, model_name)
+    changed = embed.changed_of(delta, base, dataset.expression, dim, model_name)
     vectors = changed.select(*KEYS, "cell_id", F.col("after").alias("embedding"))
     path = place(root, "silver/embeddings")
     tables.write_embeddings(path, vectors)
@@ -105,9 +107,10 @@ def run_experiments(
     headers = gold.run_manifest(numbered, dataset.cells, dataset.genes).join(
         runs.select("run_id", "token"), "run_id"
     )
-    name = model_name or model.MODEL_NAMES[0]
+    name, version = embed.identity(model_name)
     tables.write_by_run(
-        place(root, "silver/runs"), headers.withColumn("model_name", F.lit(name))
+        place(root, "silver/runs"),
+        headers.withColumn("model_name", F.lit(name)).withColumn("model_version", F.lit(version)),
     )
 
 
@@ -134,15 +137,16 @@ def embeddings_of(
     )
 
 
-def typed_work(dataset: Dataset, specs: DataFrame, config_fingerprint: str, model_name: str) -> DataFrame:
+def typed_work(dataset: Dataset, specs: DataFrame, config_fingerprint: str, model_name: Chosen) -> DataFrame:
     """One row per type, with token and run id; a type without experiments is skipped."""
+    name, version = embed.identity(model_name)
     rows = (
         sp.typed_runs(specs)
         .withColumn("dataset", F.lit(dataset.name))
         .withColumn("dataset_fingerprint", F.lit(dataset.fingerprint))
         .withColumn("config_fingerprint", F.lit(config_fingerprint))
-        .withColumn("model_name", F.lit(model_name))
-        .withColumn("model_version", F.lit(model.MODEL_VERSION))
+        .withColumn("model_name", F.lit(name))
+        .withColumn("model_version", F.lit(version))
     )
     return lineage.with_typed_token(rows)
 
@@ -154,11 +158,10 @@ def run_types(
     specs: DataFrame,
     config_fingerprint: str,
     dim: int = model.EMBEDDING_DIM,
-    model_name: str = model.MODEL_NAMES[0],
+    model_name: Chosen = model.MODEL_NAMES[0],
     memoize: bool = True,
 ) -> DataFrame:
     """Run each type as its own run, reusing runs done before; returns one row per type."""
-    embed.model_seed(model_name)  # an unknown model stops here
     work = typed_work(dataset, specs, config_fingerprint, model_name)
     members = specs.withColumn("perturbation_label", normalized_label(F.col("perturbation_type")))
     keyed = members.join(
@@ -169,7 +172,7 @@ def run_types(
 
 
 def batch_work(
-    dataset: Dataset, specs: DataFrame, wanted: DataFrame, batch_size: int, config_fingerprint: str, model_name: str
+    dataset: Dataset, specs: DataFrame, wanted: DataFrame, batch_size: int, config_fingerprint: str, model_name: Chosen
 ) -> DataFrame:
     """One row per wanted (type, batch) with its status, token and run id."""
     text = F.to_json(F.struct("position", *[f.name for f in model.SPEC_ENTRY.fields]))
@@ -180,14 +183,15 @@ def batch_work(
     )
     keys = ["batch_key", "perturbation_type"]
     prints = lineage.rows_fingerprint(members, keys, "text", "specs_fingerprint")
+    name, version = embed.identity(model_name)
     rows = (
         sp.partition_status(wanted, specs, batch_size)
         .join(prints, keys, "left")
         .withColumn("skipped", F.col("status").startswith("skipped"))
         .withColumn("dataset_fingerprint", F.lit(dataset.fingerprint))
         .withColumn("config_fingerprint", F.lit(config_fingerprint))
-        .withColumn("model_name", F.lit(model_name))
-        .withColumn("model_version", F.lit(model.MODEL_VERSION))
+        .withColumn("model_name", F.lit(name))
+        .withColumn("model_version", F.lit(version))
     )
     return lineage.with_batch_token(rows)
 
@@ -201,11 +205,10 @@ def run_batches(
     batch_size: int,
     config_fingerprint: str,
     dim: int = model.EMBEDDING_DIM,
-    model_name: str = model.MODEL_NAMES[0],
+    model_name: Chosen = model.MODEL_NAMES[0],
     memoize: bool = True,
 ) -> DataFrame:
     """Run the wanted (type, batch) partitions; returns one row per partition."""
-    embed.model_seed(model_name)
     work = batch_work(dataset, specs, wanted, batch_size, config_fingerprint, model_name)
     label = normalized_label(F.col("perturbation_type"))
     members = sp.with_batch(specs, batch_size).withColumn("perturbation_label", label)
@@ -243,7 +246,7 @@ def compare_runs(
     dataset: Dataset,
     runs: DataFrame,
     dim: int = model.EMBEDDING_DIM,
-    model_name: str | None = None,
+    model_name: Chosen = None,
     baseline_path: str | None = None,
 ) -> str:
     """Compare stored runs with the baseline and store distances and summaries.
@@ -302,7 +305,7 @@ def compare_incrementally(
     dataset: Dataset,
     upstream: DataFrame,
     dim: int = model.EMBEDDING_DIM,
-    model_name: str | None = None,
+    model_name: Chosen = None,
     baseline_path: str | None = None,
     baseline_fingerprint: str = "",
     memoize: bool = True,

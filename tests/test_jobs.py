@@ -22,7 +22,7 @@ def code(gene):
 def vector(matrix, cell):
     return [
         sum(
-            math.log1p(v) * ((code(g) + d * 104729) % 1000 / 1000 - 0.5)
+            math.log1p(v) * ((code(g) + d * embed.STEP) % embed.MODULUS / embed.MODULUS - 0.5)
             for (c, g), v in matrix.items()
             if c == cell
         )
