@@ -218,7 +218,7 @@ records AS (
   SELECT 'run_all' AS run_id, experiment_id, perturbation_type, gene, array_to_string(genes, ',') AS genes,
     involved_donors, involved_cell_types, array_to_string(coalesce(target_donors, []), ',') AS target_donors,
     array_to_string(coalesce(target_cell_types, []), ',') AS target_cell_types,
-    coalesce(n, 0) AS n_target_cells, 'experiments/' || experiment_id || '/embeddings.npy' AS output_embeddings
+    coalesce(n, 0) AS n_target_cells, 'silver/embeddings/run_id=run_all' AS output_embeddings
   FROM typed CROSS JOIN involved LEFT JOIN hits USING (experiment_id))"""
 
 LISTS = ("genes", "involved_donors", "involved_cell_types", "target_donors", "target_cell_types")

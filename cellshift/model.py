@@ -130,3 +130,7 @@ FRESHNESS_HOURS = {
 
 ALERT_FETCH_LIMIT = 200
 # -----------------------------------------------------------------------------
+
+# Where the jobs keep vectors and distances below their root; records name a run's folder there.
+EMBEDDINGS_AT = "silver/embeddings"
+DISTANCES_AT = "silver/distances"

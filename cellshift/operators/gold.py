@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellshift import model
@@ -16,6 +16,11 @@ def pick(df: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()) -> Data
     return df.select(*keep, *columns)
 
 
+def run_folder(table: str) -> Column:
+    """The folder of a run's rows in a stored table; rows of one experiment carry its id."""
+    return F.concat(F.lit(f"{table}/run_id="), F.col("run_id"))
+
+
 def manifest_records(specs: DataFrame, cells: DataFrame) -> DataFrame:
     """One record per experiment.  Lists a spec leaves out are empty here."""
     none = F.array().cast("array<string>")
@@ -36,9 +41,7 @@ def manifest_records(specs: DataFrame, cells: DataFrame) -> DataFrame:
             F.coalesce("target_donors", none).alias("target_donors"),
             F.coalesce("target_cell_types", none).alias("target_cell_types"),
             "n_target_cells",
-            F.concat(F.lit("experiments/"), "experiment_id", F.lit("/embeddings.npy")).alias(
-                "output_embeddings"
-            ),
+            run_folder(model.EMBEDDINGS_AT).alias("output_embeddings"),
         )
     )
 
@@ -70,18 +73,26 @@ def experiment_metadata(specs: DataFrame, cells: DataFrame, dim: int) -> DataFra
     )
 
 
-def run_manifest(specs: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame:
-    """One row per run: input shape, types and number of experiments."""
+def run_manifest(
+    specs: DataFrame, cells: DataFrame, genes: DataFrame, declared: DataFrame | None = None
+) -> DataFrame:
+    """One row per run: input shape, declared types and number of experiments.
+
+    ``declared`` holds ``perturbation_type``, and ``run_id`` where runs declare each their
+    own; without it a run declares the types of its experiments.
+    """
     from cellshift.operators.profile import dataset_shape
 
     shape = dataset_shape(cells, genes).select(F.struct("n_cells", "n_genes").alias("shape"))
+    types = F.array_sort(F.collect_set("perturbation_type")).alias("perturbation_types_defined")
+    counted = specs.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_experiments"))
+    if declared is not None and "run_id" not in declared.columns:
+        counted = counted.withColumn("perturbation_types_defined", declared.agg(types).scalar())
+    else:
+        named = specs if declared is None else declared
+        counted = counted.join(named.groupBy("run_id").agg(types), "run_id", "left")
     return (
-        specs.groupBy("run_id")
-        .agg(
-            F.count(F.lit(1)).alias("n_experiments"),
-            F.array_sort(F.collect_set("perturbation_type")).alias("perturbation_types_defined"),
-        )
-        .withColumn("_shape", shape.scalar())
+        counted.withColumn("_shape", shape.scalar())
         .select("run_id", "_shape.*", "perturbation_types_defined", "n_experiments")
     )
 
@@ -105,10 +116,7 @@ def comparison_records(manifest: DataFrame, summaries: DataFrame) -> DataFrame:
     return (
         context.join(summaries, KEYS)
         .withColumn("metric", F.lit("cosine_distance"))
-        .withColumn(
-            "distance_file",
-            F.concat(F.lit("per_experiment/"), "experiment_id", F.lit("_cosine_distances.npy")),
-        )
+        .withColumn("distance_file", run_folder(model.DISTANCES_AT))
     )
 
 

@@ -7,16 +7,18 @@ whole.
 """
 
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellshift import model
 from cellshift.functions.text import normalized_label
 from cellshift.operators import compare, embed, gold, lineage, perturb, specs as sp
 from cellshift.operators.resting import resting_summary
 from cellshift.operators.specs import KEYS
-from cellshift.plans.layout import choose_baseline, is_stored, of_runs, place, table_or_empty
+from cellshift.plans.layout import COMPUTED, choose_baseline, is_stored, of_runs, place, table_or_empty
 from cellshift.session import stored
 from cellshift.sources import tables
 
@@ -55,8 +57,8 @@ def baseline(
     spark: SparkSession, root: str, dataset: Dataset, dim: int, model_name: Chosen
 ) -> DataFrame:
     """The baseline vectors of a dataset and model, computed once and stored."""
-    key = "-".join([*embed.identity(model_name), str(dim), dataset.fingerprint])
-    path, marks = place(root, "silver/baseline", key), place(root, "silver/baseline_done")
+    key = _baseline_key(dataset, dim, model_name)
+    path, marks = _baseline_path(root, dataset, dim, model_name), place(root, "silver/baseline_done")
     if not _marked(spark, marks, key):
         vectors = embed.baseline_of(dataset.cells, dataset.expression, dim, model_name)
         single = F.col("vector").cast("array<float>").alias("embedding")
@@ -65,6 +67,14 @@ def baseline(
     return spark.read.schema(_vector_schema(dataset)).parquet(path)
 
 
+def _baseline_key(dataset: Dataset, dim: int, model_name: Chosen) -> str:
+    return "-".join([*embed.identity(model_name), str(dim), dataset.fingerprint])
+
+
+def _baseline_path(root: str, dataset: Dataset, dim: int, model_name: Chosen) -> str:
+    return place(root, "silver/baseline", _baseline_key(dataset, dim, model_name))
+
+
 def _marked(spark: SparkSession, path: str, key: str) -> bool:
     return not table_or_empty(spark, path, "key string").where(F.col("key") == key).isEmpty()
 
@@ -85,8 +95,9 @@ def run_experiments(
 ) -> None:
     """Run the experiments of all given runs and store them.
 
-    ``specs`` carries ``run_id``; ``runs`` has ``run_id, token``.  Everything is
-    checked before the first write.  Vectors are stored for the cells an
+    ``specs`` carries ``run_id``; ``runs`` has ``run_id, token`` and, where each run
+    declares a type of its own, ``perturbation_type``.  Everything is checked before the
+    first write.  Vectors are stored for the cells an
     experiment changes; every other cell keeps its baseline vector.  The records
     say how many those are, so that a lost vector is not taken for an unchanged cell.
     """
@@ -99,21 +110,30 @@ def run_experiments(
     delta = perturb.delta_table(numbered, dataset.cells, dataset.genes, dataset.expression)
     changed = embed.changed_of(delta, base, dataset.expression, dim, model_name)
     vectors = changed.select(*KEYS, "cell_id", F.col("after").alias("embedding"))
-    path = place(root, "silver/embeddings")
+    path = place(root, model.EMBEDDINGS_AT)
     tables.write_embeddings(path, vectors)
     written = of_runs(table_or_empty(spark, path, "run_id string, experiment_id string"), runs)
     manifest = gold.manifest_records(numbered, dataset.cells)
     tables.write_by_run(place(root, "silver/experiments"), gold.with_changed_counts(manifest, written))
-    headers = gold.run_manifest(numbered, dataset.cells, dataset.genes).join(
+    if declared is None and "perturbation_type" in runs.columns:
+        declared = runs.select("run_id", "perturbation_type")
+    headers = gold.run_manifest(numbered, dataset.cells, dataset.genes, declared).join(
         runs.select("run_id", "token"), "run_id"
     )
     name, version = embed.identity(model_name)
     tables.write_by_run(
         place(root, "silver/runs"),
-        headers.withColumn("model_name", F.lit(name)).withColumn("model_version", F.lit(version)),
+        headers.withColumn("model_name", F.lit(name))
+        .withColumn("model_version", F.lit(version))
+        .withColumn("dataset", F.lit(dataset.name))
+        .withColumn("run_created_at_utc", _now()),
     )
 
 
+def _now() -> Column:
+    return F.lit(datetime.now(UTC).isoformat())
+
+
 def manifest_of(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
     """Stored records of the given runs."""
     path = place(root, "silver/experiments")
@@ -262,15 +282,15 @@ def compare_runs(
     sp.require_none(wrong, f"baseline vectors must be {dim} wide")
     manifest = stored(manifest_of(spark, root, runs), "manifest")
     schema = "run_id string, experiment_id string, " + _vector_schema(dataset)
-    changed = of_runs(table_or_empty(spark, place(root, "silver/embeddings"), schema), runs)
+    changed = of_runs(table_or_empty(spark, place(root, model.EMBEDDINGS_AT), schema), runs)
     sp.require_none(
         compare.lost_vectors(manifest, changed, dataset.cells), "stored vectors are not those of the run"
     )
-    path = place(root, "silver/distances")
+    path = place(root, model.DISTANCES_AT)
     pairs = changed.join(
         own.select("cell_id", F.col("embedding").cast("array<double>").alias("before")), "cell_id"
     ).select(*KEYS, "cell_id", "before", compare.of_width("embedding", dim).alias("after"))
-    if source == "computed_from_input":
+    if source == COMPUTED:
         dist = compare.changed_distances(pairs, dataset.cells, manifest)
         tables.write_by_experiment(path, dist)
         dist = _read_distances(spark, path, dist, runs)
@@ -288,8 +308,14 @@ def compare_runs(
         summaries = resting_summary(dist, rest, manifest)
     records = gold.comparison_records(manifest, summaries)
     tables.write_by_run(place(root, "silver/summaries"), records)
-    headers = gold.comparison_manifest(records, stored_runs, source).join(
-        runs.select("run_id", "comparison_token"), "run_id"
+    at = source if source != COMPUTED else _baseline_path(root, dataset, dim, model_name)
+    headers = (
+        gold.comparison_manifest(records, stored_runs, source)
+        .join(runs.select("run_id", "comparison_token"), "run_id")
+        .withColumn("baseline_path", F.lit(at))
+        .withColumn("source_run_path", gold.run_folder("silver/runs"))
+        .withColumn("dataset", F.lit(dataset.name))
+        .withColumn("computed_at_utc", _now())
     )
     tables.write_by_run(place(root, "silver/comparisons"), headers)
     return source
@@ -333,6 +359,18 @@ def compare_incrementally(
 
 # --- hand on -----------------------------------------------------------------
 
+# What a run hands on is named, not copied: a row per artifact says which table holds it.  A
+# run's rows are replaced in one step, after its documents, and carry the token they were
+# made for; a run whose rows carry its token has been handed on already.
+_POINTER = "run_id string, artifact string, source string, token string"
+_EXPERIMENTS, _COMPARISONS = "gold/compute/experiment_pointers", "gold/compute/comparison_pointers"
+#: Where the rows naming each artifact are kept, and whether the artifact has rows by run.
+_ARTIFACTS = {
+    "embeddings": (_EXPERIMENTS, True),
+    "distances": (_COMPARISONS, True),
+    "baseline": (_COMPARISONS, False),
+}
+
 
 def _write_run_documents(path: str, documents: DataFrame) -> None:
     (
@@ -350,36 +388,80 @@ def _require_headers(spark: SparkSession, path: str, runs: DataFrame, what: str)
     return of_runs(spark.read.parquet(path), runs)
 
 
+def _not_handed_on(spark: SparkSession, root: str, pointers: str, headers: DataFrame, token: str) -> DataFrame:
+    """The headers of runs whose pointers are absent or made for another token."""
+    done = table_or_empty(spark, place(root, pointers), _POINTER).select("run_id", F.col("token").alias(token))
+    return headers.join(done.distinct(), ["run_id", token], "left_anti")
+
+
+def _write_pointers(root: str, table: str, headers: DataFrame, token: str, sources: dict[str, Column]) -> None:
+    named = F.array(*[F.struct(F.lit(a).alias("artifact"), s.alias("source")) for a, s in sources.items()])
+    rows = headers.select("run_id", F.inline(named), F.col(token).alias("token"))
+    tables.write_by_run(place(root, table), rows)
+
+
+def handed_on(
+    spark: SparkSession, root: str, artifact: str, schema: str | T.StructType, runs: DataFrame | None = None
+) -> DataFrame:
+    """The rows of an artifact of the given runs (or of all), read where the pointers say.
+
+    ``embeddings`` and ``distances`` have rows by run; a ``baseline`` may serve many runs and
+    has its rows once, with the table they came from as ``source``.
+    """
+    table, by_run = _ARTIFACTS[artifact]
+    pointers = table_or_empty(spark, place(root, table), _POINTER).where(F.col("artifact") == artifact)
+    if runs is not None:
+        pointers = of_runs(pointers, runs)
+    pointers = stored(pointers, "pointers")
+    out = spark.createDataFrame([], schema)
+    out = out if by_run else out.withColumn("source", F.lit("").cast("string"))
+    # as many as there are tables: one, or one a baseline
+    for row in pointers.select("source").distinct().collect():
+        found = table_or_empty(spark, row.source, schema)
+        if by_run:
+            found = of_runs(found, pointers.where(F.col("source") == row.source))
+        else:
+            found = found.withColumn("source", F.lit(row.source))
+        out = out.unionByName(found)
+    return out
+
+
 def export_experiments(spark: SparkSession, root: str, runs: DataFrame) -> None:
-    """Readers' records, the experiment index and the vectors of complete runs."""
+    """Readers' records, the experiment index and the pointers of complete runs not handed on yet."""
     headers = _require_headers(spark, place(root, "silver/runs"), runs, "runs without a manifest")
-    metadata = headers.select("run_id", "n_cells", "n_genes", "perturbation_types_defined", "n_experiments")
-    manifest = manifest_of(spark, root, runs)
+    headers = stored(_not_handed_on(spark, root, _EXPERIMENTS, headers, "token"), "headers")
+    if headers.isEmpty():
+        return
+    metadata = headers.select(
+        "run_id", "n_cells", "n_genes", "perturbation_types_defined", "n_experiments", "run_created_at_utc"
+    )
+    manifest = manifest_of(spark, root, headers)
     records = tables.run_documents(gold.ui_records(manifest), "position", metadata)
     _write_run_documents(place(root, "gold/ui/perturbation_records"), records)
     index = tables.run_documents(manifest, "position", metadata)
     _write_run_documents(place(root, "gold/compute/experiment_index"), index)
-    copy_runs(spark, place(root, "silver/embeddings"), place(root, "gold/compute/embeddings"), runs)
+    _write_pointers(root, _EXPERIMENTS, headers, "token", {"embeddings": F.lit(place(root, model.EMBEDDINGS_AT))})
 
 
 def export_comparisons(spark: SparkSession, root: str, runs: DataFrame) -> None:
-    """Readers' cards, the comparison index and the distances of complete comparisons."""
+    """Readers' cards, the comparison index and the pointers of complete comparisons not handed on yet."""
     headers = _require_headers(
         spark, place(root, "silver/comparisons"), runs, "runs without a comparison manifest"
     )
-    records = of_runs(spark.read.parquet(place(root, "silver/summaries")), runs)
+    headers = stored(_not_handed_on(spark, root, _COMPARISONS, headers, "comparison_token"), "headers")
+    if headers.isEmpty():
+        return
+    records = of_runs(spark.read.parquet(place(root, "silver/summaries")), headers)
     cards = tables.run_documents(gold.comparison_cards(records), "position")
     _write_run_documents(place(root, "gold/ui/comparison_cards"), cards)
     index = tables.run_documents(records, "position", headers)
     _write_run_documents(place(root, "gold/compute/comparison_index"), index)
-    distances = place(root, "silver/distances")
-    if is_stored(spark, distances, "run_id string"):
-        bundle = gold.distance_bundle(records, spark.read.parquet(distances))
-        tables.write_by_experiment(place(root, "gold/compute/distances"), bundle)
+    sources = {"distances": F.lit(place(root, model.DISTANCES_AT)), "baseline": F.col("baseline_path")}
+    _write_pointers(root, _COMPARISONS, headers, "comparison_token", sources)
 
 
-def copy_runs(spark: SparkSession, source: str, target: str, runs: DataFrame) -> None:
-    """Copy the partitions of the given runs unchanged; an absent source is skipped."""
-    if not is_stored(spark, source, "run_id string"):
-        return
-    tables.write_by_experiment(target, of_runs(spark.read.parquet(source), runs))
+def distance_bundle(spark: SparkSession, root: str, runs: DataFrame | None = None) -> DataFrame:
+    """The distances that the summaries list, in single precision, read through the pointers."""
+    records = spark.read.parquet(place(root, "silver/summaries"))
+    like = spark.read.parquet(place(root, model.DISTANCES_AT)).select(*KEYS, "cell_id", "distance").schema
+    return gold.distance_bundle(records, handed_on(spark, root, "distances", like, runs))
