@@ -10,7 +10,7 @@ from cellshift.functions import cursors
 from cellshift.operators import gold, quality
 from cellshift.session import shared_path
 from cellshift.sources import tables
-from cellshift.streaming import alerts
+from cellshift.streaming import alerts, inputs
 
 EVENTS = b.with_sql(b.EVENTS_SQL)
 
@@ -303,6 +303,36 @@ def changed_inputs(spark, sf):
     return alerts.changed_inputs(files, before)
 
 
+@query(
+    "input_change_stream",
+    """
+WITH looks AS (
+  SELECT 'data/' || user_id || '.h5ad' AS logical_path, ts AS seen_at,
+    epoch_us(date_trunc('day', ts)) || '000:' || event_id % 2 AS cursor,
+    epoch_us(date_trunc('day', ts)) AS micros, event_id % 2 AS size
+  FROM events WHERE event_type <> 'click'),
+told AS (
+  SELECT *, lag(cursor) OVER (PARTITION BY logical_path ORDER BY seen_at, micros, size) AS before FROM looks)
+SELECT logical_path, cursor, 'ann_data_' || cursor AS run_key, epoch_us(seen_at) AS seen_at
+FROM told WHERE cursor IS DISTINCT FROM before""",
+)
+def input_change_stream(spark, sf):
+    """Events of looks at files, in two runs of the stream: clicks find no file, others some time and size."""
+    ts = F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("+00:00")))
+    looks = b.table(spark, sf, "events").select(
+        F.concat(F.lit("data/"), F.col("user_id").cast("string"), F.lit(".h5ad")).alias("logical_path"),
+        F.date_trunc("day", ts).alias("modified"),
+        F.when(F.col("event_type") != "click", F.col("event_id") % 2).cast("bigint").alias("size"),
+        ts.alias("seen_at"),
+    )
+    listings, told, cursor = (shared_path(spark, x) for x in ("listings", "input-events", "input-cursor"))
+    middle = looks.agg(F.timestamp_micros(F.avg(F.unix_micros("seen_at")).cast("bigint"))).scalar()
+    for half in (F.col("seen_at") < middle, F.col("seen_at") >= middle):
+        looks.where(half).write.mode("append").parquet(listings)
+        inputs.follow_inputs(spark, listings, told, cursor).awaitTermination()
+    return spark.read.schema(inputs.EVENT).parquet(told).withColumn("seen_at", F.unix_micros("seen_at"))
+
+
 # --- gold of comparisons -----------------------------------------------------
 
 

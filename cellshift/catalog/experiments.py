@@ -28,9 +28,7 @@ LEFT JOIN (SELECT *, shift IS NOT NULL OR factor <> 1 AS stored FROM touched) US
 GROUP BY ALL""",
 )
 def experiment_summary(spark, sf):
-    specs, cells, genes, expression = _inputs(spark, sf)
-    delta = perturb.delta_table(specs, cells, genes, expression)
-    return perturb.perturbation_summary(specs, cells, genes, expression, delta)
+    return perturb.perturbation_summary(*_inputs(spark, sf))
 
 
 SPECS = b.with_sql(b.MATRIX_SQL, b.SPECS_SQL)
@@ -290,7 +288,7 @@ SELECT 'run_all' AS run_id, experiment_id, cell_id, gene_symbol,
 FROM touched WHERE shift IS NOT NULL OR (factor <> 1 AND value IS NOT NULL)""",
 )
 def delta_entries(spark, sf):
-    return perturb.delta_table(*_inputs(spark, sf)).select(
+    return perturb.delta_table(*_inputs(spark, sf), idle=True).select(
         *perturb.ENTRY, F.round("old_value", 6).alias("old_value"), F.round("new_value", 6).alias("new_value")
     )
 

@@ -4,7 +4,8 @@ A target list is matched against the distinct (donor, cell type) classes, never
 against single cells: each class is offered under four keys (both values, one
 value and a wildcard, two wildcards) and each spec asks under one kind of key,
 so the match is a plain equi-join of two small tables.  Cells then join the
-matched classes on their attributes.
+matched classes on their attributes and a chunk of their class, so that a class of a
+third of all cells is many keys.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -129,13 +130,31 @@ def target_cell_counts(specs: DataFrame, cells: DataFrame, rule: str = "executio
     )
 
 
-def cohort_members(specs: DataFrame, cells: DataFrame, rule: str, *keep: str) -> DataFrame:
-    """One row per experiment and targeted cell."""
+CHUNK = 100_000  # cells of a class that share a key
+
+
+def cohort_members(specs: DataFrame, cells: DataFrame, rule: str, *keep: str, chunk: int = CHUNK) -> DataFrame:
+    """One row per experiment and targeted cell.
+
+    A cell's chunk comes from its id and one number, how many chunks the largest class
+    needs; matched classes are offered in every chunk.
+    """
     matched = matched_classes(specs, cells, rule, *keep).drop("n_cells")
     full, _ = _with_attributes(cells, specs, rule)
-    m = matched.withColumnsRenamed({"donor": "m_donor", "cell_type": "m_cell_type"})
-    on = F.col("donor").eqNullSafe(F.col("m_donor")) & F.col("cell_type").eqNullSafe(F.col("m_cell_type"))
-    return full.select("cell_id", "donor", "cell_type").join(m, on).select(*KEYS, *keep, "cell_id")
+    largest = cohort_classes(full).agg(F.max("n_cells")).first()[0] or 0
+    chunks = max(1, -(-largest // chunk))
+    m = matched.withColumnsRenamed({"donor": "m_donor", "cell_type": "m_cell_type"}).withColumn(
+        "m_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    )
+    placed = full.select("cell_id", "donor", "cell_type").withColumn(
+        "chunk", F.pmod(F.xxhash64("cell_id"), F.lit(chunks)).cast("int")
+    )
+    on = (
+        F.col("donor").eqNullSafe(F.col("m_donor"))
+        & F.col("cell_type").eqNullSafe(F.col("m_cell_type"))
+        & (F.col("chunk") == F.col("m_chunk"))
+    )
+    return placed.join(m, on).select(*KEYS, *keep, "cell_id")
 
 
 def involved_values(cells: DataFrame) -> DataFrame:

@@ -187,6 +187,27 @@ def test_describe_uses_the_sample_deviation(spark):
 # --- percentiles -------------------------------------------------------------
 
 
+def test_cohorts_do_not_depend_on_chunks(run, rows):
+    specs, cells = run[0], run[1]
+    whole = rows(cohorts.cohort_members(specs, cells, "execution"))
+    split = cohorts.cohort_members(specs, cells, "execution", chunk=2)
+    assert rows(split) == whole and len(whole) > 0
+    assert rows(cohorts.cohort_members(specs, cells.limit(0), "execution")) == []
+
+
+def test_shifts_of_zero_or_less_touch_stored_entries_only(run, delta, rows):
+    """The zeros such a shift leaves at 0 are listed on request, and the changes are the same."""
+    idle = perturb.delta_table(*run, idle=True)
+    extra = idle.exceptAll(delta)
+    assert extra.count() > 0 and extra.where("old_value <> 0 OR new_value <> 0").count() == 0
+    assert delta.exceptAll(idle).count() == 0
+    summary = {r.experiment_id: r for r in perturb.perturbation_summary(*run).collect()}
+    changed = idle.where("new_value <> old_value").groupBy("experiment_id").count().collect()
+    assert {e: r.n_changed for e, r in summary.items() if r.n_changed} == {r.experiment_id: r["count"] for r in changed}
+    new = idle.where("old_value = 0 AND new_value <> 0").groupBy("experiment_id").count().collect()
+    assert {e: r.n_new_non_zero for e, r in summary.items() if r.n_new_non_zero} == {r.experiment_id: r["count"] for r in new}
+
+
 def test_order_keys_are_those_of_doubles(spark):
     """Every power of two with its neighbours, subnormal numbers, zeros, infinities, NaN, random bits."""
     random.seed(3)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellshift import model
 from cellshift.session import shared_path
-from cellshift.streaming import alerts
+from cellshift.streaming import alerts, inputs
 
 START = datetime(2024, 1, 1)
 
@@ -83,3 +83,40 @@ def test_changed_inputs(spark):
     row = alerts.changed_inputs(now, before).collect()
     assert [r.logical_path for r in row] == ["b"]
     assert row[0].run_key == f"ann_data_{row[0].cursor}" and row[0].cursor.endswith("000:2")
+
+
+def _listed(spark, listings, *rows):
+    """One look: (path, minute of writing, size)."""
+    at = START + timedelta(days=1 + len(rows))
+    looks = [(p, START + timedelta(minutes=m), s, at + timedelta(minutes=i)) for i, (p, m, s) in enumerate(rows)]
+    spark.createDataFrame(looks, inputs.LISTING).coalesce(1).write.mode("append").parquet(listings)
+
+
+def test_a_path_written_again_is_a_new_event(spark):
+    listings, events_, cursor = (shared_path(spark, x) for x in ("looks", "told", "told-cursor"))
+
+    def told():
+        inputs.follow_inputs(spark, listings, events_, cursor).awaitTermination()
+        return sorted((r.logical_path, r.cursor.split(":")[1]) for r in spark.read.schema(inputs.EVENT).parquet(events_).collect())
+
+    _listed(spark, listings, ("a", 1, 10), ("b", 1, 20))
+    assert told() == [("a", "10"), ("b", "20")]
+    _listed(spark, listings, ("a", 1, 10), ("b", 1, None))  # unchanged; listed without a size
+    assert told() == [("a", "10"), ("b", "20")]
+    _listed(spark, listings, ("a", 2, 11), ("a", 3, 12), ("b", 1, 20))  # written twice between two runs
+    assert told() == [("a", "10"), ("a", "11"), ("a", "12"), ("b", "20")]
+    _listed(spark, listings, ("a", 2, 11))  # back to an older state is a change too
+    assert told()[:2] == [("a", "10"), ("a", "11")] and len(told()) == 5
+    assert len(told()) == 5  # started again without news: nothing is told twice
+
+
+def test_a_watched_folder_is_listed_as_it_is(spark):
+    watched, listings, events_, cursor = (shared_path(spark, x) for x in ("watched", "looks", "told", "told-cursor"))
+    inputs.record_listing(spark, watched, listings)  # not there yet
+    for rows in (3, 400):
+        spark.range(rows).coalesce(1).write.mode("overwrite").json(watched)
+        inputs.record_listing(spark, watched, listings)
+        inputs.record_listing(spark, watched, listings)
+        inputs.follow_inputs(spark, listings, events_, cursor).awaitTermination()
+    found = spark.read.schema(inputs.EVENT).parquet(events_).where("logical_path LIKE '%.json'")
+    assert found.count() == 2 and found.where("run_key = concat('ann_data_', cursor)").count() == 2
