@@ -42,10 +42,22 @@ SELECT p_brand, CASE WHEN len(s) = 0 THEN 'none'
 FROM lists""",
 )
 def compact_tags(spark, sf):
-    named = b.table(spark, sf, "part").groupBy("p_brand").agg(
-        F.collect_set("p_name").alias("names")
-    )
-    return named.select("p_brand", text.compact_tag(F.col("names")).alias("tag"))
+    return gold.group_tags(b.table(spark, sf, "part"), ["p_brand"], F.col("p_name"))
+
+
+@query(
+    "compact_tags_cut",
+    r"""
+WITH slugs AS (
+  SELECT DISTINCT source, trim(regexp_replace(left(text, 40), '[^\p{L}\p{N}_-]', '_', 'g'), '_') AS s
+  FROM documents WHERE regexp_matches(left(text, 40), '\S')),
+lists AS (SELECT source, list_sort(list(CASE s WHEN '' THEN 'default' ELSE s END)) AS s FROM slugs GROUP BY 1)
+SELECT source, CASE WHEN len(j) <= 63 THEN j ELSE rtrim(left(j, 63), '_-.') END AS tag
+FROM (SELECT source, array_to_string(s[1:3], '_') || CASE WHEN len(s) > 3 THEN '_more' ELSE '' END AS j FROM lists)""",
+)
+def compact_tags_cut(spark, sf):
+    """Tags of the first 40 characters of each source's documents: longer than a tag may be."""
+    return gold.group_tags(b.table(spark, sf, "documents"), ["source"], F.left("text", F.lit(40)))
 
 
 @query(

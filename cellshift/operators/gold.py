@@ -2,10 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellshift import model
+from cellshift.functions.text import compact_tag, slug
 from cellshift.operators.cohorts import involved_values, target_cell_counts
 from cellshift.operators.specs import KEYS
 
@@ -163,3 +164,16 @@ def lineage_dimensions(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             for name in names
         ]
     )
+
+
+def group_tags(df: DataFrame, keys: Sequence[str], label: Column) -> DataFrame:
+    """``keys`` and ``tag``, the compact tag of each group's labels.
+
+    A tag shows three slugs and whether there are more, so four distinct ones a group are
+    all that is ever brought together.
+    """
+    keys = list(keys)
+    slugs = df.select(*keys, F.when(label.rlike(r"(?U)\S"), slug(label)).alias("_slug")).distinct()
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last("_slug")))
+    first = slugs.withColumn("_place", place).where(F.col("_place") <= 4)
+    return first.groupBy(*keys).agg(compact_tag(F.collect_list("_slug")).alias("tag"))

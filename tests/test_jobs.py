@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import os
+from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,8 +120,86 @@ def test_gold_has_every_experiment(spark, root):
     assert cards.count() == len(fx.SPECS)
     assert cards.where("e.mean_distance IS NULL").count() == 0
     silver = spark.read.parquet(f"{root}/silver/embeddings")
-    assert spark.read.parquet(f"{root}/gold/compute/embeddings").count() == silver.count()
-    assert spark.read.parquet(f"{root}/gold/compute/distances").count() == silver.count()
+    vectors = jobs.handed_on(spark, root, "embeddings", silver.schema)
+    assert vectors.select(*silver.columns).exceptAll(silver).count() == 0 and vectors.count() == silver.count()
+    assert jobs.distance_bundle(spark, root).count() == silver.count()
+    one = spark.read.parquet(f"{root}/silver/runs").select("run_id").limit(1)
+    assert jobs.distance_bundle(spark, root, one).count() == of_runs(silver, one).count()
+    base = jobs.handed_on(spark, root, "baseline", "cell_id string, embedding array<float>")
+    assert base.count() == 12 and base.select("source").distinct().count() == 1
+
+
+def test_records_name_folders_that_hold_their_rows(spark, root):
+    for row in spark.read.parquet(f"{root}/silver/experiments").where("n_changed > 0").collect():
+        stored_rows = spark.read.parquet(f"{root}/{row.output_embeddings}")
+        assert stored_rows.where(F.col("experiment_id") == row.experiment_id).count() == row.n_changed
+    for row in spark.read.parquet(f"{root}/silver/summaries").select("distance_file").distinct().collect():
+        assert spark.read.parquet(f"{root}/{row.distance_file}").count() > 0
+
+
+def test_headers_tell_where_results_come_from(spark, root):
+    for row in spark.read.parquet(f"{root}/silver/runs").collect():
+        assert row.perturbation_types_defined == [row.run_id.split("__")[0]]  # what the run declares
+        assert row.run_created_at_utc.endswith("+00:00") and row.dataset == "data/small"
+    for row in spark.read.parquet(f"{root}/silver/comparisons").collect():
+        assert spark.read.parquet(f"{root}/{row.source_run_path}").count() == 1
+        assert spark.read.parquet(row.baseline_path).count() == 12 and row.computed_at_utc.endswith("+00:00")
+
+
+def _files(folder):
+    path = folder.removeprefix("file:")
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names}
+
+
+def test_a_reused_run_writes_nothing(spark, dataset, root):
+    before = _files(root)
+    runs = jobs.run_types(spark, root, dataset, fx.specs(spark), "config-1", DIM)
+    jobs.compare_incrementally(spark, root, dataset, runs, DIM)
+    assert _files(root) == before
+
+
+def row_measures(genes, values):
+    """Depends on every gene of a cell, and on which they are."""
+    out = [[v.sum(), len(v), sum(int(g[-1]) * x for g, x in zip(gs, v)), 1.0] for gs, v in zip(genes, values)]
+    return np.array(out, dtype=float).reshape(len(genes), 4)
+
+
+def test_a_users_model_sees_whole_perturbed_cells(spark, dataset, monkeypatch):
+    monkeypatch.setattr(embed, "CHANGES", 3)  # several chunks of experiments a cell
+    root, specs = shared_path(spark, "user-model"), fx.specs(spark)
+    chosen = embed.UserModel("row_measures", "1", row_measures)
+    runs = jobs.run_types(spark, root, dataset, specs, "config-1", 4, chosen)
+    built_in = jobs.typed_work(dataset, specs, "config-1", None)
+    other = jobs.typed_work(dataset, specs, "config-1", embed.UserModel("row_measures", "2", row_measures))
+    ids = [{r.run_id for r in df.collect()} for df in (runs, built_in, other)]
+    assert not (ids[0] & ids[1] or ids[0] & ids[2])
+    places = {r.run_id: r.perturbation_type for r in runs.collect()}
+    positions = defaultdict(list)
+    for i, spec in enumerate(fx.SPECS):
+        positions[spec[0].strip().lower()].append(i)
+    base, n = fx.values(), 0
+    for r in spark.read.parquet(f"{root}/silver/embeddings").collect():
+        spec = fx.SPECS[positions[places[r.run_id]][int(r.experiment_id[-4:])]]
+        after = fx.perturbed(spec)
+        row = {g: v for (c, g), v in after.items() if c == r.cell_id}
+        assert row != {g: v for (c, g), v in base.items() if c == r.cell_id}
+        assert list(r.embedding) == pytest.approx([sum(row.values()), len(row), sum(int(g[-1]) * v for g, v in row.items()), 1.0])
+        n += 1
+    assert n > 0
+    jobs.compare_incrementally(spark, root, dataset, runs, 4, chosen)
+    assert spark.read.parquet(f"{root}/silver/summaries").where("mean_distance IS NULL").count() == 0
+
+
+def test_a_model_of_the_wrong_shape_stops_the_job(spark, dataset):
+    wrong = embed.UserModel("wrong", "1", lambda genes, values: np.zeros((len(genes), 3)))
+    with pytest.raises(Exception, match="model returned shape"):
+        jobs.run_types(spark, shared_path(spark, "wrong"), dataset, fx.specs(spark), "c", 4, wrong)
+
+
+def test_runs_without_a_name_are_refused(spark, root):
+    nameless = spark.createDataFrame([("",)], "run_id string")
+    with pytest.raises(Exception, match="a run has no name"):
+        of_runs(spark.read.parquet(f"{root}/silver/runs"), nameless).count()
 
 
 def test_vectors_of_all_cells_of_one_experiment(spark, dataset, root):
@@ -243,6 +324,9 @@ def test_checks_pass_on_stored_runs(spark, root):
     assert row.passed and row.failures_count == 0
     lost = quality.embedding_shape_check(manifest, vectors.limit(0), DIM).first()
     assert lost.failures_count == manifest.where("n_changed > 0").count()
+    absent = manifest.select("run_id").distinct().unionByName(spark.createDataFrame([("never_run",)], "run_id string"))
+    row = quality.embedding_shape_check(manifest, vectors, DIM, absent).first()
+    assert not row.passed and row.failures == ["never_run: missing manifest"] and row.n_runs == absent.count()
 
 
 def test_only_the_runs_asked_for_are_read(spark, root):
