@@ -11,12 +11,12 @@ at most ``SLOTS`` rows a language, one window of each.  Documents are read whole
 in windows of ``WINDOW`` bytes.
 """
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ SLAB = 2048  # windows read side by side
 RUN = 2 << 20  # characters of a batch held as bytes at a time
 PAD = 256
 _CLOSED = -60.0  # an update gate this low leaves the state as it is
-_letter = re.compile(r"[^\W\d_]")
+_letter = regex.compile(r"\p{L}")
 
 
 @dataclass
