@@ -99,11 +99,10 @@ def next_documents(keys: DataFrame) -> DataFrame:
     inside = W.partitionBy("part").orderBy(*order)
     after = F.struct("doc_id", "h")
     rows = dealt.withColumn("follower", F.lead(after).over(inside))
-    firsts = dealt.groupBy("part").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("z"), (-F.col("doc_id")).alias("m"), "h")).alias("f")
-    )
+    minus = (-F.col("doc_id").cast("decimal(20,0)")).alias("m")  # the smallest long has no negative
+    firsts = dealt.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), minus, "h")).alias("f"))
     parts = W.orderBy("part")
-    unpacked = F.struct((-F.col("f.m")).alias("doc_id"), F.col("f.h").alias("h"))
+    unpacked = F.struct((-F.col("f.m")).cast("long").alias("doc_id"), F.col("f.h").alias("h"))
     heads = firsts.select("part", unpacked.alias("head"))
     following = heads.select(
         "part",
