@@ -6,9 +6,10 @@ is used up.  A budget over the source's size first gives complete epochs, and th
 order decides only which documents the last, partial epoch holds.
 
 Keys come from a hash of the id and the text, so that reruns agree.  The order
-inside a source is never sorted as a whole: keys are cut into blocks of about
-``BLOCK`` documents by their own value, blocks carry running sums, and only a
-block is sorted in one task.  Texts are read once and never shuffled.
+inside a source is never sorted as a whole: documents are dealt by sampled ranges of
+source, key and row, which are even whatever the weights and however many rows are
+alike; parts carry running sums, and only a part is sorted in one task.  Texts are read
+once and never shuffled.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,6 @@ from pyspark.sql import Window as W
 from cellshift.llm.common import WORD, free_names, same, text_or_empty
 from cellshift.session import stored
 
-BLOCK = 4096
 #: Weights of the sources in code point order, null last, repeating.
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -92,32 +92,29 @@ def mixed(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
             .drop("rated_id")
             .fillna({"weight": 1.0})
         )
-    base = stored(base.withColumn("key", -F.log("u") / F.col("weight")).drop("weight"), "mix-sizes")
+    # rows alike in everything are told apart by their place in the stored table
+    base = base.withColumn("key", -F.log("u") / F.col("weight")).withColumn("row", F.monotonically_increasing_id())
+    base = stored(base.drop("weight"), "mix-sizes")
     targets = stored(source_targets(base), "mix-targets")
     named = targets.withColumnRenamed("source", "of_source")
-    # 1 - exp(-key) spreads keys over 0 to 1, so blocks of one source hold about as many rows
-    blocks = F.ceil(F.col("n_docs") / BLOCK)
+    order = ["key", F.asc_nulls_first("doc_id"), "size", "row"]
     dealt = base.join(named, same(F.col("source"), F.col("of_source"))).select(
-        *base.columns,
-        "source_size",
-        "target",
-        F.floor((1 - F.exp(-F.col("key"))) * blocks).alias("block"),
-    )
-    sums = dealt.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
-    running = W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select(
-        F.col("source").alias("at_source"),
-        F.col("block").alias("at_block"),
-        F.coalesce(F.sum("block_size").over(running), F.lit(0)).alias("start"),
+        *base.columns, "source_size", "target"
     )
-    inside = (
-        W.partitionBy("source", "block")
-        .orderBy("key", F.asc_nulls_first("doc_id"), "size")
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    placed = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
-        starts, same(F.col("source"), F.col("at_source")) & (F.col("block") == F.col("at_block"))
+    dealt = dealt.repartitionByRange("source", *order).withColumn("part", F.spark_partition_id())
+    inside = W.partitionBy("source", "part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    parts = stored(dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))), "mix-parts")
+    running = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        parts.groupBy("source", "part")
+        .agg(F.sum("size").alias("part_size"))
+        .select(
+            F.col("source").alias("at_source"),
+            F.col("part").alias("at_part"),
+            F.coalesce(F.sum("part_size").over(running), F.lit(0)).alias("start"),
+        )
     )
+    placed = parts.join(starts, same(F.col("source"), F.col("at_source")) & (F.col("part") == F.col("at_part")))
     whole = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
     left_over = F.col("target") - whole * F.col("source_size")
     middle = F.col("start") + F.col("inside") + F.col("size") / 2
