@@ -94,7 +94,7 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
-    return warc.read_archive(spark, path).select(
+    return warc.rebuilt(warc.read_archive(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

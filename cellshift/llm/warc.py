@@ -43,9 +43,15 @@ def _payload() -> Column:
     return F.encode(F.coalesce("html", F.lit("")), "UTF-8")
 
 
-def _header(c: dict[str, Column]) -> Column:
+def _record_id(page: str, url: str, copy: Column) -> Column:
+    """Differs between any two records: page, a digest of payload and url, and the copy of what is alike in all."""
+    what = F.sha2(F.concat(F.col("address"), F.coalesce(F.concat(F.lit(" "), url), F.lit(""))), 256)
+    number = F.coalesce(F.col(page).cast("string"), F.lit("none"))
+    return F.concat(F.lit("<urn:page:"), number, F.lit(":"), F.left(what, F.lit(32)), F.lit(":"), copy, F.lit(">"))
+
+
+def _header() -> Column:
     """The exact header text: WARC fields, an empty line, then the HTTP head."""
-    page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     http = F.concat(
@@ -58,7 +64,7 @@ def _header(c: dict[str, Column]) -> Column:
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.col("kind")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), page, F.lit(":"), F.col("copy").cast("string"), F.lit(">"))),
+        line("WARC-Record-ID", _record_id("page_id", "url", F.col("copy").cast("string"))),
         line("WARC-Date", F.lit(DATE)),
         F.coalesce(line("WARC-Target-URI", uri), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
@@ -66,7 +72,7 @@ def _header(c: dict[str, Column]) -> Column:
             revisit,
             F.concat(
                 line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-                line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("first_id").cast("string"), F.lit("none")), F.lit(":1>"))),
+                line("WARC-Refers-To", _record_id("first_id", "first_url", F.lit("1"))),
             ),
         ).otherwise(F.lit("")),
         line("Content-Type", F.lit("application/http;msgtype=response")),
@@ -124,7 +130,7 @@ def write_archive(pages: DataFrame, path: str, smallest: int = 0) -> None:
         F.when((F.col("bytes") < smallest) | (is_first & (F.col("copy") == 1)), "response").otherwise("revisit"),
     )
     records.select(
-        "address", _header({}).alias("header")
+        "address", _header().alias("header")
     ).write.parquet(f"{path}/records")
 
     # keys without nulls, so that the rows of a key stay where the join brought them
@@ -184,3 +190,18 @@ def record_bytes(records: DataFrame) -> DataFrame:
     return records.withColumn(
         "record", F.concat(F.encode("header", "UTF-8"), body, F.encode(F.lit("\r\n\r\n"), "UTF-8"))
     )
+
+
+def rebuilt(records: DataFrame) -> DataFrame:
+    """Adds ``record``, its bytes, and takes payload, length and digest anew from what was rebuilt.
+
+    The payload of a response is what lies between its header and the two line ends; that of
+    a revisit is the one it refers to, which the archive joined by address.
+    """
+    whole = record_bytes(records)
+    inside = F.expr("substring(record, octet_length(header) + 1, octet_length(record) - octet_length(header) - 4)")
+    body = F.when(F.col("record_type") == "response", inside).otherwise(F.col("payload"))
+    whole = whole.withColumn("payload", body)
+    return whole.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn(
+        "payload_digest", base32(F.sha1("payload"))
+    )
