@@ -27,6 +27,7 @@ WORDS = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 2
 MOST_TEMPLATES = 1000
+MOST_BYTES = 1 << 20  # of all templates; their shingles and bands are broadcast, about 45 bytes a byte
 #: Public license notices.
 TEMPLATES = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
@@ -103,9 +104,12 @@ def geometry(length: int) -> tuple[int, int]:
 
 
 def template_table(spark: SparkSession, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """license, shingles (distinct), length; refuses more than ``MOST_TEMPLATES``."""
+    """license, shingles (distinct), length; refuses more than ``MOST_TEMPLATES``, or long ones beyond ``MOST_BYTES``."""
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"{len(templates)} templates; at most {MOST_TEMPLATES}")
+    size = sum(len(text.encode()) for text in templates.values())
+    if size > MOST_BYTES:
+        raise ValueError(f"templates of {size} bytes; at most {MOST_BYTES}")
     rows = spark.createDataFrame(sorted(templates.items()), "license string, text string")
     return rows.select(
         "license", F.array_distinct(shingles(F.col("text"))).alias("template")
@@ -119,7 +123,10 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     first_word is the first word of the first window that has that share.
     """
     spark = docs.sparkSession
-    known = [r for r in template_table(spark, templates).collect() if r["length"]]  # bounded above
+    known = template_table(spark, templates).collect()  # bounded above
+    short = sorted(r["license"] for r in known if not r["length"])
+    if short:
+        raise ValueError(f"templates of fewer than {WORDS} words: {short}")
     # the templates went through the same expression as the texts
     kept = spark.createDataFrame(known, "license string, template array<bigint>, length int")
     parts = sorted({h for r in known for h in r["template"]})
