@@ -1,5 +1,6 @@
 """The operators against brute force, exact round trips, held-out accuracy, and odd input."""
 
+import base64
 import hashlib
 import html
 import random
@@ -26,7 +27,7 @@ from cellshift.llm import (
     simhash,
     warc,
 )
-from cellshift.session import shared_path
+from cellshift.session import shared_path, stored
 from tests.oracle import compare
 
 SF = "/root/testdata/sf0.001"
@@ -76,6 +77,14 @@ def test_language_of_odd_texts(spark, odd, none):
     assert language.train([]).labels == [] and language.fitted(none, F.lit(True)).labels == []
 
 
+def test_numerals_are_no_letters(spark):
+    model = language.train([("en", "the and of it is"), ("de", "der die und ist")] * 4)
+    texts = ["½", "²", "Ⅷ", "①", "12 _ 3", "é", "日"]
+    told = language.identified(spark.createDataFrame([(t,) for t in texts], "text string"), model, "said")
+    said = {r["text"]: r["lang"] for r in told.select("text", "said.lang").collect()}
+    assert {t for t, lang in said.items() if lang == "und"} == set(texts[:5])
+
+
 def test_gradients_of_the_recurrent_network():
     model = language.train([("a", "abab"), ("b", "xyz")])
     ids, wanted = language._windows([b"abxyab", b"xyz"], 6), np.array([0, 1])
@@ -128,6 +137,16 @@ def test_edited_texts_of_odd_documents(spark, odd, none):
     assert fingerprints.edited_fingerprints(none).count() == 0
 
 
+def test_the_smallest_id_is_edited_too(spark):
+    ids = [-(2**63), 2**63 - 1, 0, None]
+    df = spark.createDataFrame([(n, f"text {n} of it") for n in ids], "doc_id long, text string")
+    got = {r["doc_id"]: r["edited_sha256"] for r in fingerprints.edited_fingerprints(df).collect()}
+    order = [2**63 - 1, 0, -(2**63), None]
+    for n, after in zip(order, [*order[1:], order[0]]):
+        text, k = f"text {n} of it", len(f"text {n} of it") // 3
+        assert got[n] == hashlib.sha256((text[: len(text) - k] + f"text {after} of it"[:k]).encode()).hexdigest()
+
+
 # neighbours
 
 def test_neighbours_are_found_with_ties_and_odd_vectors(spark):
@@ -229,14 +248,44 @@ def test_mix_comes_near_its_targets(spark, odd, none):
     assert back.columns == odd.columns and mixing.apply_mix(none, mixing.mixed(none)).count() == 0
 
 
-def test_blocks_do_not_change_the_mix(spark, monkeypatch):
+@pytest.fixture
+def partitions(spark):
+    """Sets the number of shuffle partitions, which adaptive execution then leaves alone."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    yield lambda n: [spark.conf.set(name, value) for name, value in zip(names, (str(n), "false"))]
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_parts_do_not_change_the_mix(spark, partitions):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     columns = ["doc_id", "epochs"]
     plain = sorted(map(tuple, mixing.mixed(df).select(*columns).collect()))
-    monkeypatch.setattr(mixing, "BLOCK", 3)
+    partitions(37)
     assert sorted(map(tuple, mixing.mixed(df).select(*columns).collect())) == plain
 
 
+def test_rows_all_alike_are_dealt_evenly(spark, partitions, monkeypatch):
+    """A source of equal rows, of low weight, is many parts and still meets its target."""
+    rows = spark.range(6000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("a b").alias("text"), F.lit("s").alias("source"))
+    rows = rows.unionByName(spark.createDataFrame([(2, "c d e", "t")], "doc_id long, text string, source string"))
+    light = spark.createDataFrame([(1, 0.05)], "doc_id long, weight double")
+    kept = {}
+
+    def keeping(df, label):
+        kept[label] = stored(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(mixing, "stored", keeping)
+    partitions(12)
+    mix = mixing.mixed(rows, light)
+    total = mix.groupBy("source").agg(F.sum(F.col("epochs") * F.col("size")).alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 2 for r in total) and mix.count() == 6001
+    sizes = [r["count"] for r in kept["mix-parts"].groupBy("part").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 3 * 6001 / 12
+
+
 # archive
 
 def test_archive_gives_back_every_record(spark):
@@ -250,6 +299,9 @@ def test_archive_gives_back_every_record(spark):
         (False, 4, "response", 0), (False, 7, "response", 0), (True, 0, "revisit", 2),
     ]
     assert spark.read.parquet(f"{path}/payloads").count() == 3
+    for r in warc.rebuilt(warc.read_archive(spark, path)).collect():
+        digest = base64.b32encode(hashlib.sha1(bytes(r["payload"])).digest()).decode()
+        assert (r["payload_bytes"], r["payload_digest"]) == (len(r["payload"]), digest)
     for r in records:
         head, _, rest = bytes(r["record"]).partition(b"\r\n\r\n")
         length = int(re.search(rb"Content-Length: (\d+)$", head)[1])
@@ -265,6 +317,20 @@ def test_archive_gives_back_every_record(spark):
     assert warc.read_archive(spark, path).count() == 0
 
 
+def test_no_two_records_share_an_id(spark):
+    """One page_id with other urls and other payloads, none at all, and whole rows repeated."""
+    pages = [(2, "u", "<p>x"), (2, "v", "<p>x"), (2, "v", "<p>y"), (2, None, "<p>y"), (2, "", "<p>y"), (None, "u", "<p>x"), (None, "v", "<p>z"), (2, "u", "<p>x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    path = shared_path(spark, "test-archive")
+    warc.write_archive(df, path)
+    headers = [r["header"] for r in warc.read_archive(spark, path).collect()]
+    ids = [re.search(r"WARC-Record-ID: (\S+)", h)[1] for h in headers]
+    assert len(set(ids)) == len(ids) == len(pages)
+    responses = {i for i, h in zip(ids, headers) if "WARC-Type: response" in h}
+    referred = [re.search(r"WARC-Refers-To: (\S+)", h)[1] for h in headers if "WARC-Type: revisit" in h]
+    assert len(responses) == 3 and len(referred) == 5 and set(referred) <= responses
+
+
 # chat
 
 def test_chat_comes_back_exactly(spark):
@@ -307,6 +373,13 @@ def test_licenses_equal_brute_force(spark, odd, none):
     assert licenses.scan(odd).count() == 0 and licenses.scan(none).count() == 0
 
 
+def test_templates_that_cannot_be_matched_are_refused(spark, odd):
+    with pytest.raises(ValueError, match="fewer than 5 words"):
+        licenses.scan(odd, {"short": "only four words here"})
+    with pytest.raises(ValueError, match="at most"):
+        licenses.scan(odd, {"long": "many words " * licenses.MOST_BYTES})
+
+
 # near-duplicates
 
 def _plain_simhash(text):
