@@ -15,6 +15,7 @@ boilerplate in many other ways.
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -51,6 +52,8 @@ BATCH = 48
 RATE = 0.01
 LONGEST = 256  # blocks a training page is cut to; reading is never cut
 WORDS_KEPT = 200_000  # cached word hashes of a worker
+PLACES_KEPT = 20_000  # cached paths of a worker, between pages
+TEMPLATE_WORDS = 50_000  # words of the page sample that fill the templates, chosen by a hash
 
 _piece = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,17 +66,77 @@ _named = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>
 _simple = re.compile(r"[a-z0-9]+")
 
 
+#: An element of the key ends at once an open one of these, whose end tag may be left out.
+ENDED_BY = {
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
+    "tr": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"},
+}
+
+
+class Place:
+    """An open element: its tag and class words, and what its path adds up to.
+
+    A path is a link to the place outside and what that one summed up, so an element costs the
+    same however deep it lies.
+    """
+
+    __slots__ = ("outer", "words", "inside", "outside", "total", "_row")
+
+    def __init__(self, outer: "Place | None", words: tuple[str, ...]):
+        self.outer, self.words, self._row = outer, words, None
+        self.inside = bool(outer and outer.inside) or not INSIDE_TAGS.isdisjoint(words)
+        self.outside = bool(outer and outer.outside) or any(
+            w in OUTSIDE_TAGS or w[1:] in OUTSIDE_WORDS for w in words
+        )
+        self.total = outer.total.copy() if outer else np.zeros(PATH_SIZE + 2, dtype=np.float32)
+        for word in words:
+            self.total[_path_slot(word)] += 0.5
+
+    @property
+    def row(self) -> np.ndarray:
+        """Hashed words of the path, the nearest four heavier, and two flags."""
+        if self._row is None:
+            row, place, near = self.total.copy(), self, 4
+            while place is not None and near:
+                for word in place.words[::-1][:near]:
+                    row[_path_slot(word)] += 0.5
+                    near -= 1
+                place = place.outer
+            row[PATH_SIZE:] = self.outside, self.inside
+            self._row = row
+        return self._row
+
+
+def _path_slot(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % PATH_SIZE
+
+
+_TOP = Place(None, ())
+_places: dict[tuple[int, tuple[str, ...]], Place] = {}  # by the place outside and the words; pages share them
+
+
+def _place(outer: Place, words: tuple[str, ...]) -> Place:
+    key = (id(outer), words)
+    found = _places.get(key)
+    if found is None or found.outer is not outer:
+        found = _places[key] = Place(outer, words)
+    return found
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]  # tags and class words of open elements, outermost first
+    place: Place  # the innermost open element
     linked: int  # characters inside links
 
 
 def blocks(html: str) -> list[Block]:
     """The leaf blocks of a page in order, with character references decoded and spaces made single."""
+    if len(_places) > PLACES_KEPT:
+        _places.clear()
     found: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Place]] = []
+    still = Counter()  # open elements by name
     parts: list[str] = []
     links, at, linked = 0, 0, 0
 
@@ -82,17 +145,17 @@ def blocks(html: str) -> list[Block]:
         if parts:
             words = entities.unescape("".join(parts)).split()
             if words:
-                path = tuple([w for _, named in stack for w in named])
-                found.append(Block(" ".join(words), path, linked))
+                found.append(Block(" ".join(words), stack[-1][1] if stack else _TOP, linked))
         parts.clear()
         linked = 0
 
     def close(name: str) -> None:
         nonlocal links
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] == name:
-                links -= sum(tag == "a" for tag, _ in stack[depth:])
-                del stack[depth:]
+        while still[name]:  # what lies inside it ends with it
+            tag = stack.pop()[0]
+            still[tag] -= 1
+            links -= tag == "a"
+            if tag == name:
                 return
 
     for m in _piece.finditer(html):
@@ -118,10 +181,12 @@ def blocks(html: str) -> list[Block]:
             continue
         if name in BLOCK_TAGS:
             close("p")  # a block ends an open paragraph
-        if name == "li" and stack and stack[-1][0] == "li":
-            close("li")
+        while stack and stack[-1][0] in ENDED_BY.get(name, ()):
+            close(stack[-1][0])
         said = [w for g in _named.findall(attributes) for v in g for w in _simple.findall(v.lower())] if attributes else ()
-        stack.append((name, (name, *("." + w for w in said))))
+        words = (name, *("." + w for w in said))
+        stack.append((name, _place(stack[-1][1] if stack else _TOP, words)))
+        still[name] += 1
         links += name == "a"
     if at < len(html):
         parts.append(html[at:])
@@ -139,22 +204,7 @@ class _Slots(dict):
         return found
 
 
-class _Paths(dict):
-    """path -> its part of a row: hashed tags and class words, the nearest ones heavier, and two flags."""
-
-    def __missing__(self, path: tuple[str, ...]) -> np.ndarray:
-        if len(self) > WORDS_KEPT // 100:
-            self.clear()
-        row = np.zeros(PATH_SIZE + 2, dtype=np.float32)
-        for up, word in enumerate(reversed(path)):
-            row[zlib.crc32(word.encode("utf-8", "surrogatepass")) % PATH_SIZE] += 1.0 if up < 4 else 0.5
-        row[PATH_SIZE] = any(w in OUTSIDE_TAGS or w[1:] in OUTSIDE_WORDS for w in path)
-        row[PATH_SIZE + 1] = any(w in INSIDE_TAGS for w in path)
-        self[path] = row
-        return row
-
-
-_slots, _paths = _Slots(), _Paths()
+_slots = _Slots()
 _marks = re.compile(r"[.,;:!?]")
 
 
@@ -167,7 +217,7 @@ def features(page: list[Block]) -> np.ndarray:
     slots = np.fromiter(map(_slots.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=counts.sum())
     slots += np.repeat(np.arange(len(page)) * WORD_SIZE, counts)
     bags = np.bincount(slots, minlength=len(page) * WORD_SIZE).reshape(-1, WORD_SIZE)
-    paths = np.stack([_paths[b.path] for b in page])
+    paths = np.stack([b.place.row for b in page])
     out[:, :PATH_SIZE] = paths[:, :PATH_SIZE]
     out[:, PATH_SIZE : PATH_SIZE + WORD_SIZE] = bags / np.sqrt(1.0 + counts**2)[:, None] * 4
     out[:, PATH_SIZE + WORD_SIZE :] = np.stack(
@@ -302,15 +352,9 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], seed: int = 11) -> Model:
 
 def own_labels(page: list[Block]) -> np.ndarray | None:
     """1 for content, by the page's own elements; None where it has neither article nor main."""
-    if not any(w in INSIDE_TAGS for b in page for w in b.path):
+    if not any(b.place.inside for b in page):
         return None
-    return np.array([
-        float(
-            any(w in INSIDE_TAGS for w in b.path)
-            and not any(w in OUTSIDE_TAGS or w[1:] in OUTSIDE_WORDS for w in b.path)
-        )
-        for b in page
-    ], dtype=np.float32)
+    return np.array([float(b.place.inside and not b.place.outside) for b in page], dtype=np.float32)
 
 
 #: Ways to write what belongs to the article and what does not.
@@ -397,7 +441,8 @@ def fitted(pages: DataFrame, seed: int = 5) -> Model:
     """A labeller trained on the page sample and on templates; without pages on templates alone."""
     sampled = [blocks(text) for text in sample_pages(pages)]
     cases = [(features(p), y) for p in sampled if (y := own_labels(p)) is not None]
-    words = sorted({w for p in sampled for b in p for w in b.text.split(" ")})[:50_000] or ["word", "other"]
+    found = {w for p in sampled for b in p for w in b.text.split(" ")}
+    words = sorted(found, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w))[:TEMPLATE_WORDS] or ["word", "other"]
     random = np.random.default_rng(seed)
     for _ in range(TEMPLATE_PAGES):
         page, labels = template_page(random, words)
@@ -431,8 +476,8 @@ def main_texts(model: Model, pages: list[str]) -> list[str]:
 def extracted(pages: DataFrame, model: Model, html: str = "html", name: str = "text") -> DataFrame:
     """Add the main text of every page; null and empty pages have an empty text.
 
-    Pages of any length are read whole.  Repeated rows return a row each, and all
-    other columns pass through untouched.
+    Pages of any length are read whole.  Repeated rows return a row each.  A column
+    called ``name`` is replaced; all others pass through untouched.
     """
 
     @F.pandas_udf("string")
