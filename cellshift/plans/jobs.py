@@ -19,7 +19,7 @@ from cellshift.operators import compare, embed, gold, lineage, perturb, specs as
 from cellshift.operators.resting import resting_summary
 from cellshift.operators.specs import KEYS
 from cellshift.plans.layout import COMPUTED, choose_baseline, is_stored, of_runs, place, table_or_empty
-from cellshift.session import stored
+from cellshift.session import in_job_folder, stored
 from cellshift.sources import tables
 
 _RUNS = "run_id string, token string, n_experiments bigint, model_name string"
@@ -83,6 +83,7 @@ def _as_vector(df: DataFrame) -> DataFrame:
     return df.select("cell_id", F.col("embedding").cast("array<double>").alias("vector"))
 
 
+@in_job_folder
 def run_experiments(
     spark: SparkSession,
     root: str,
@@ -260,6 +261,7 @@ def _run_work(spark, root, dataset, work, keyed, dim, model_name, memoize) -> Da
 # --- compare -----------------------------------------------------------------
 
 
+@in_job_folder
 def compare_runs(
     spark: SparkSession,
     root: str,
@@ -426,6 +428,7 @@ def handed_on(
     return out
 
 
+@in_job_folder
 def export_experiments(spark: SparkSession, root: str, runs: DataFrame) -> None:
     """Readers' records, the experiment index and the pointers of complete runs not handed on yet."""
     headers = _require_headers(spark, place(root, "silver/runs"), runs, "runs without a manifest")
@@ -443,6 +446,7 @@ def export_experiments(spark: SparkSession, root: str, runs: DataFrame) -> None:
     _write_pointers(root, _EXPERIMENTS, headers, "token", {"embeddings": F.lit(place(root, model.EMBEDDINGS_AT))})
 
 
+@in_job_folder
 def export_comparisons(spark: SparkSession, root: str, runs: DataFrame) -> None:
     """Readers' cards, the comparison index and the pointers of complete comparisons not handed on yet."""
     headers = _require_headers(

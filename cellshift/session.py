@@ -1,10 +1,16 @@
 """Session defaults and the shared folder for tables that cut lineage."""
 
+import functools
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+#: The folder of the job that runs, below which its tables go; none outside of a job.
+_job: ContextVar[str | None] = ContextVar("job", default=None)
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
@@ -28,7 +34,7 @@ def shared_path(spark: SparkSession, label: str) -> str:
     Only a local master may fall back to the machine's temporary folder: on a
     cluster a path one executor sees alone would lose data with that executor.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _job.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -43,3 +49,37 @@ def stored(df, label: str):
     path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def job_folder(spark: SparkSession, label: str):
+    """Tables stored inside go to one folder, which is deleted when the job has written its results.
+
+    A job that fails leaves its folder, and so does one inside another job, to that one.
+    """
+    if _job.get():
+        yield
+        return
+    path = shared_path(spark, label)
+    token = _job.set(path)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def in_job_folder(job):
+    """A job, called with the session first, whose own tables go to a folder deleted at its end.
+
+    What the job returns must not read them.
+    """
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with job_folder(spark, job.__name__):
+            return job(spark, *args, **kwargs)
+
+    return run

@@ -70,6 +70,7 @@ def deliver_alerts(events: DataFrame, path: str, checkpoint: str) -> StreamingQu
     schema = alerts.schema
 
     def add(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read three times; a lost part is read from its files again
         fresh = batch.dropDuplicates(["storage_id"])
         known = table_or_empty(batch.sparkSession, path, schema)
         # two numbers of the batch; a comparison prunes folders, the join alone would not
@@ -79,6 +80,7 @@ def deliver_alerts(events: DataFrame, path: str, checkpoint: str) -> StreamingQu
         sent = known.join(batch.select("id_block").distinct(), "id_block", "left_semi")
         fresh = fresh.join(sent.select("storage_id"), "storage_id", "left_anti")
         fresh.select(*schema.names).write.mode("append").partitionBy("id_block").parquet(path)
+        batch.unpersist()
 
     return (
         alerts.writeStream.foreachBatch(add)

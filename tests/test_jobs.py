@@ -158,6 +158,16 @@ def test_a_reused_run_writes_nothing(spark, dataset, root):
     assert _files(root) == before
 
 
+def test_jobs_delete_their_own_tables(spark, dataset):
+    scratch = spark.conf.get("spark.checkpoint.dir") + "/cellshift"
+    root = shared_path(spark, "tidy")
+    runs = jobs.run_types(spark, root, dataset, fx.specs(spark), "config-1", DIM)
+    compared = jobs.compare_incrementally(spark, root, dataset, runs, DIM)
+    left = os.listdir(scratch.removeprefix("file:"))
+    assert not [name for name in left if name.startswith(("run_experiments", "compare_runs", "export_"))]
+    assert runs.count() == compared.count() == 3  # what the jobs return is still there
+
+
 def row_measures(genes, values):
     """Depends on every gene of a cell, and on which they are."""
     out = [[v.sum(), len(v), sum(int(g[-1]) * x for g, x in zip(gs, v)), 1.0] for gs, v in zip(genes, values)]
