@@ -50,7 +50,6 @@ ORDER_BITS = 16
 ROUNDS = 14
 SETTLED = 0.05  # share of list entries that are new in the last round
 POOL = 100
-SEARCH_ROUNDS = 8
 SEED = 3
 
 
@@ -380,9 +379,13 @@ def _near(full: pd.Series, asked: pd.Series) -> pd.Series:
     return pd.Series(np.einsum("nd,nd->n", a, b))
 
 
-def search(queries: DataFrame, lists: DataFrame, products: DataFrame, codes: DataFrame) -> DataFrame:
-    """query, node: the best ``POOL`` nodes that each query node (column node) finds.
+def search(
+    queries: DataFrame, lists: DataFrame, products: DataFrame, codes: DataFrame, most: int = POOL
+) -> DataFrame:
+    """query, node: the best ``most`` nodes that each query node (column node) finds.
 
+    A search ends when every node of its pool has been expanded, so none is cut off.  A node
+    that left a pool is farther than all that stay and never comes back: it ends.
     ``lists`` are expanded in both directions, ``products`` (by plain products) only
     from a node to its list: a long vector is in the lists of many.
     """
@@ -405,7 +408,7 @@ def search(queries: DataFrame, lists: DataFrame, products: DataFrame, codes: Dat
         "query", F.col("query").alias("node"), F.lit(float("inf")).alias("near"), F.lit(False).alias("used")
     )
     best = W.partitionBy("query").orderBy(F.desc("near"), "node")
-    for _ in range(SEARCH_ROUNDS):
+    while not pool.where(~F.col("used")).isEmpty():
         reached = (
             pool.where(~F.col("used"))
             .join(edges, "node")
@@ -426,12 +429,10 @@ def search(queries: DataFrame, lists: DataFrame, products: DataFrame, codes: Dat
             .groupBy("query", "node")
             .agg(F.max("near").alias("near"), F.max("used").alias("used"))
             .withColumn("nth", F.row_number().over(best))
-            .where(F.col("nth") <= POOL + 1)  # the query itself is one of them
+            .where(F.col("nth") <= most + 1)  # the query itself is one of them
             .drop("nth"),
             "nn-pool",
         )
-        if pool.where(~F.col("used")).isEmpty():
-            break
     return pool.where(F.col("query") != F.col("node")).select("query", "node")
 
 
@@ -442,10 +443,8 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
     vec_id; a row is not its own neighbour, but a copy of it is.  Vectors that are
     null, all zero or hold null or non-finite components take no part, nor do rows
     without id.  Fewer candidates than ``k`` give fewer rows; an empty table none.
-    ``k`` is at most ``POOL``.
+    A search keeps ``POOL`` nodes, or ``k`` if that is more.
     """
-    if k > POOL:
-        raise ValueError(f"k is {k}; the search keeps {POOL}")
     rows = stored(usable(table, key, vector), "nn-rows")
     parts = F.transform("vec", lambda x: F.abs(x))
     size = rows.agg(F.max(F.size("vec")).alias("width"), F.max(F.array_max(parts)).alias("largest")).first()
@@ -461,7 +460,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
         .select("vec_id", "node", "vec"),
         "nn-queries",
     )
-    found = search(asking.select("node").distinct(), lists, products, codes)
+    found = search(asking.select("node").distinct(), lists, products, codes, max(POOL, k))
     own = asking.select(F.col("node").alias("query"), "node").distinct()
     pairs = found.unionByName(own)
     measured = stored(

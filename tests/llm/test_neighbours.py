@@ -50,6 +50,11 @@ def test_long_rows_do_not_hide_the_others(spark):
         assert recall(spark, with_long_row(times)) >= 0.9
 
 
+def test_more_neighbours_than_a_pool_holds(spark):
+    x = unit(np.random.default_rng(10), 900, 16)
+    assert recall(spark, x, every=100, k=neighbours.POOL + 50) >= 0.9
+
+
 def test_a_hub_is_dealt_to_many_tasks(spark):
     ids = spark.range(4000).select(
         F.col("id").alias("node"),
