@@ -54,11 +54,34 @@ def l2_norm(a: pa.Array) -> pa.Array:
     return pa.array(out, mask=~valid)
 
 
-@F.arrow_udf(T.ArrayType(T.DoubleType()))
-def vector_sum(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Position-wise sum of two columns of vectors without nulls."""
-    x, y = _matrix(a), _matrix(b)
-    if x.shape != y.shape:
-        raise ValueError(f"vector widths differ: {x.shape[1]} and {y.shape[1]}")
-    offsets = np.arange(0, x.size + 1, max(x.shape[1], 1), dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array((x + y).ravel()))
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(0, rows.size + 1, max(rows.shape[1], 1), dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
+
+
+AT_ONCE = 1024  # rows whose entries are weighted in one step
+
+
+def moved_by(dim: int, modulus: int, step: int):
+    """A column function: a vector plus, for each of a row's entries, its amount times its weights.
+
+    An entry has a code below ``modulus``; its weight at position ``d`` is the fraction
+    ``(code + d * step) % modulus / modulus`` less a half.  A row has one entry or more.
+    """
+    steps = np.arange(dim, dtype=np.int64) * step % modulus
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def moved(before: pa.Array, codes: pa.Array, amounts: pa.Array) -> pa.Array:
+        out = _matrix(before).copy()
+        if not len(out):
+            return pa.array([], pa.list_(pa.float64()))
+        ends = np.concatenate([[0], np.cumsum(np.diff(codes.offsets.to_numpy()))])
+        code, amount = (x.flatten().to_numpy(zero_copy_only=False) for x in (codes, amounts))
+        for first in range(0, len(out), AT_ONCE):
+            last = min(first + AT_ONCE, len(out))
+            part = slice(ends[first], ends[last])
+            weights = (code[part, None] + steps) % modulus / modulus - 0.5
+            out[first:last] += np.add.reduceat(amount[part, None] * weights, ends[first:last] - ends[first])
+        return _lists(out)
+
+    return moved

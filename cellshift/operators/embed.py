@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellshift import model
-from cellshift.functions.vectors import vector_sum
+from cellshift.functions.vectors import moved_by
 from cellshift.operators.specs import KEYS
 
 # Ship this module's functions with the plan, so executors need no installed copy.
@@ -115,16 +115,21 @@ def changed_embeddings(
 ) -> DataFrame:
     """Vectors before and after, for the cells an experiment really changes.
 
-    Every other cell keeps its baseline vector, so nothing is computed for it.
-    An experiment changes few genes of a cell, so summing before the shuffle would
-    only send wide vectors instead of narrow entries: entries are brought together
-    by cell first, which is also where the baseline is joined.
+    Every other cell keeps its baseline vector, so nothing is computed for it.  An
+    experiment changes few genes of a cell, so narrow entries travel: they are brought
+    together by cell, where the baseline is joined, and weighted there.
     """
+    code = (gene_code(F.col("gene_symbol")) * 7919 + model_seed(model_name)) % MODULUS
     amount = F.log1p("new_value") - F.log1p("old_value")
     effective = delta.where(F.col("new_value") != F.col("old_value")).repartition("cell_id")
-    change = _projected(effective, [*KEYS, "cell_id"], amount, dim, model_seed(model_name))
-    return change.join(baseline.withColumnRenamed("vector", "before"), "cell_id").select(
-        *KEYS, "cell_id", "before", vector_sum(F.col("before"), F.col("vector")).alias("after")
+    entries = (
+        effective.select(*KEYS, "cell_id", F.struct(code.alias("code"), amount.alias("amount")).alias("e"))
+        .groupBy(*KEYS, "cell_id")
+        .agg(F.array_sort(F.collect_list("e")).alias("es"))
+    )
+    after = moved_by(dim, MODULUS, STEP)(F.col("before"), F.col("es.code"), F.col("es.amount"))
+    return entries.join(baseline.withColumnRenamed("vector", "before"), "cell_id").select(
+        *KEYS, "cell_id", "before", after.alias("after")
     )
 
 
