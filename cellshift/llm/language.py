@@ -37,6 +37,18 @@ RUN = 2 << 20  # characters of a batch held as bytes at a time
 PAD = 256
 _CLOSED = -60.0  # an update gate this low leaves the state as it is
 _letter = regex.compile(r"\p{L}")
+_word = regex.compile(r"\p{L}+")
+STRANGE = 4  # one window of each kind is made up from so many learned ones
+#: Where alphabets begin in Unicode, and how many letters of each are drawn.
+SCRIPTS = (
+    (0x03B1, 24), (0x0430, 32), (0x0561, 38), (0x05D0, 27), (0x0627, 36), (0x0905, 53), (0x0995, 31),
+    (0x0B85, 40), (0x0E01, 46), (0x10D0, 33), (0x1200, 300), (0x3042, 82), (0x30A2, 80), (0x4E00, 3000), (0xAC00, 3000),
+)
+#: What stands between the words of programs and markup.
+MARKS = (
+    "(", ")", " = ", ";\n    ", "_", ".", "()", "</", ">", "><", " {\n", "}\n", " == ", " + ", "://", "=\"", "\" ", "(\"", "\")",
+    ", ", ": ", " -> ", "[", "]", "/", "*", "&", "#", "@", "|", "\\", " ",
+)
 
 
 @dataclass
@@ -247,14 +259,54 @@ def predictor(model: Model):
     return predict
 
 
-def fitted(docs: DataFrame, usable: Column) -> Model:
+def strangers(rows: list[tuple[str, str]], seed: int = 5) -> list[tuple[str, str]]:
+    """Further (language, window) pairs made of learned ones by rule: windows of no language, and short ones.
+
+    Of every ``STRANGE`` windows one each becomes: words of letters drawn alike from a to z; words
+    in a script that no window uses; words among the marks of programs and markup.  These are
+    ``und``.  The last becomes a few words with numbers between them, in its own language: short
+    texts and numbers are no reason to doubt it.  Windows without a letter are left out.
+    """
+    random = np.random.default_rng(seed)
+    used = {ord(c) for _, w in rows for c in w}
+    scripts = [(begin, size) for begin, size in SCRIPTS if used.isdisjoint(range(begin, begin + size))]
+    latin = (ord("a"), 26)
+
+    def drawn(word: str, begin: int, size: int) -> str:
+        said = "".join(chr(c) for c in begin + random.integers(0, size, len(word)))
+        return said.title() if word[0].isupper() else said
+
+    out = []
+    for n, (lang, window) in enumerate(r for r in rows if _letter.search(r[1])):
+        kind = n % STRANGE
+        if kind == 0 or kind == 1 and not scripts:
+            out.append((UNKNOWN, _word.sub(lambda m: drawn(m[0], *latin), window)))
+        elif kind == 1:
+            script = scripts[random.integers(0, len(scripts))]
+            out.append((UNKNOWN, _word.sub(lambda m: drawn(m[0], *script), window)))
+        elif kind == 2:
+            marks = random.choice(MARKS, len(window))
+            out.append((UNKNOWN, "".join(map("".join, zip(_word.findall(window), marks, strict=False)))))
+        else:
+            said = window.split()[: random.integers(1, 12)]
+            numbers = [str(random.integers(0, 10 ** random.integers(1, 16))) for _ in said]
+            keep = random.random(len(said)) < 0.7
+            out.append((lang, " ".join(w if k else f"{w} {x}" for w, x, k in zip(said, numbers, keep, strict=True))))
+    return out
+
+
+def fitted(docs: DataFrame, usable: Column, strange: bool = False) -> Model:
     """A model from the rows of ``docs`` for which ``usable`` holds (text, lang; doc_id only picks rows).
 
     The sample is bounded by ``SLOTS`` rows a language, which is what comes to the
-    driver.  Without a labelled row every prediction is ``und``.
+    driver.  Without a labelled row every prediction is ``und``.  With ``strange`` the model
+    also learns ``strangers`` of the sample as ``und``, so that a text can be told to be in none
+    of the languages, however many there are; its score is then the share of ``und``.
     """
-    rows = training_rows(docs, usable).orderBy("h", "lang").collect()
-    return train([(r["lang"], r["window"]) for r in rows])
+    rows = [(r["lang"], r["window"]) for r in training_rows(docs, usable).orderBy("h", "lang").collect()]
+    if strange and rows:
+        rows += strangers(rows)
+    return train(rows)
 
 
 def identified(docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
