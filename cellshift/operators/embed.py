@@ -192,38 +192,60 @@ def embed_changed(delta: DataFrame, expression: DataFrame, fn: Model, dim: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            waiting = []
-            for i in range(batch.num_rows):
-                genes, values = _arrays(batch.column("base")[i].values)
-                for change in batch.column("changes")[i]:
-                    keys = [change[k].as_py() for k in KEYS]
-                    row = _changed_row(genes, values, *_arrays(change["e"].values))
-                    waiting.append((*keys, i, *row))
-                    if len(waiting) == CALL:
-                        yield _called(fn, dim, batch, waiting)
-                        waiting = []
-            if waiting:
-                yield _called(fn, dim, batch, waiting)
+            yield from _changed_cells(batch, fn, dim)
 
     cell = met.schema["cell_id"].dataType.simpleString()
     schema = f"run_id string, experiment_id string, cell_id {cell}, embedding array<float>"
     return met.mapInArrow(run, schema)
 
 
-def _arrays(entries: pa.StructArray | None) -> tuple[np.ndarray, np.ndarray]:
-    if entries is None:
-        return np.empty(0), np.empty(0)
-    return tuple(entries.field(name).to_numpy(zero_copy_only=False) for name in ("gene_symbol", "value"))
+def _entries(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each row's entries start and end, and all genes and values."""
+    flat = column.flatten()
+    starts = np.concatenate([[0], np.cumsum(np.diff(column.offsets.to_numpy()))])
+    return starts, *(flat.field(name).to_numpy(zero_copy_only=False) for name in ("gene_symbol", "value"))
 
 
-def _changed_row(genes, values, new_genes, new_values) -> tuple[np.ndarray, np.ndarray]:
-    """A row with some entries replaced, in the order of the genes; zeros leave it."""
-    kept = ~np.isin(genes, new_genes)
-    genes = np.concatenate([genes[kept], new_genes]) if len(genes) else new_genes
-    values = np.concatenate([values[kept], new_values]) if len(values) else new_values
-    order = np.argsort(genes, kind="stable")
-    order = order[values[order] != 0]
-    return genes[order], values[order]
+def _ragged(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the entries of the given rows, in turn: the place among ``rows`` and the index."""
+    sizes = starts[rows + 1] - starts[rows]
+    place = np.repeat(np.arange(len(rows)), sizes)
+    ends = np.cumsum(sizes)
+    return place, np.arange(len(place)) + np.repeat(starts[rows] - (ends - sizes), sizes)
+
+
+def _changed_cells(batch: pa.RecordBatch, fn: Model, dim: int) -> Iterator[pa.RecordBatch]:
+    """Calls ``fn`` with the rows of up to ``CALL`` changed cells, some entries replaced.
+
+    A row is in the order of the genes; zeros leave it.  Rows are put together for a
+    whole call at once.
+    """
+    starts, genes, values = _entries(batch.column("base"))
+    listed = batch.column("changes")
+    cell = np.repeat(np.arange(batch.num_rows), np.diff(listed.offsets.to_numpy()))
+    changes = listed.flatten()
+    new_starts, new_genes, new_values = _entries(changes.field("e"))
+    every = np.concatenate([genes, new_genes]) if len(genes) else new_genes
+    known, codes = np.unique(every, return_inverse=True)
+    code, new_code = codes[: len(genes)], codes[len(genes) :]
+    for first in range(0, len(cell), CALL):
+        change = np.arange(first, min(first + CALL, len(cell)))
+        place, at = _ragged(starts, cell[change])
+        new_place, new_at = _ragged(new_starts, change)
+        key, new_key = place * len(known) + code[at], new_place * len(known) + new_code[new_at]
+        kept = ~np.isin(key, new_key)
+        key = np.concatenate([key[kept], new_key])
+        value = np.concatenate([values[at[kept]], new_values[new_at]])
+        order = np.argsort(key, kind="stable")
+        order = order[value[order] != 0]
+        key, value = key[order], value[order]
+        gene = known[key % len(known)]
+        ends = np.searchsorted(key, np.arange(len(change) + 1) * len(known))
+        spans = [slice(a, b) for a, b in zip(ends[:-1], ends[1:])]
+        vectors = _as_lists(fn([gene[s] for s in spans], [value[s] for s in spans]), len(change), dim)
+        columns = [changes.field(k).slice(first, len(change)) for k in KEYS]
+        cells = batch.column("cell_id").take(pa.array(cell[change]))
+        yield pa.RecordBatch.from_arrays([*columns, cells, vectors], names=[*KEYS, "cell_id", "embedding"])
 
 
 def _as_lists(matrix: np.ndarray, n: int, dim: int) -> pa.ListArray:
@@ -233,14 +255,6 @@ def _as_lists(matrix: np.ndarray, n: int, dim: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)), pa.array(out.ravel()))
 
 
-def _called(fn: Model, dim: int, batch: pa.RecordBatch, waiting: list[tuple]) -> pa.RecordBatch:
-    runs, experiments, rows, genes, values = zip(*waiting)
-    vectors = _as_lists(fn(genes, values), len(waiting), dim)
-    cells = batch.column("cell_id").take(pa.array(rows))
-    names = [*KEYS, "cell_id", "embedding"]
-    return pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(experiments, pa.string()), cells, vectors], names=names)
-
-
 def embed_with(
     matrix: DataFrame, keys: Sequence[str], fn: Model, dim: int, rows_of: DataFrame | None = None
 ) -> DataFrame:
