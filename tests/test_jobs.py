@@ -350,3 +350,63 @@ def test_only_the_runs_asked_for_are_read(spark, root):
 def test_unknown_model_is_refused(spark, dataset):
     with pytest.raises(ValueError, match="unsupported model"):
         jobs.run_types(spark, "/nowhere", dataset, fx.specs(spark), "c", DIM, "other_model")
+
+
+def floats(df):
+    """Each vector's values to the last bit."""
+    return {(r.run_id, r.experiment_id, r.cell_id): list(r.embedding) for r in df.collect()}
+
+
+def test_vectors_kept_as_entries_are_the_same(spark, dataset, root, monkeypatch):
+    monkeypatch.setattr(compare, "TOGETHER", 2)  # several lists a cell
+    whole = floats(spark.read.parquet(f"{root}/silver/embeddings"))
+    kept = shared_path(spark, "kept")
+    runs = jobs.run_types(spark, kept, dataset, fx.specs(spark), "config-1", DIM, as_entries=True)
+    rows = spark.read.parquet(f"{kept}/silver/embeddings")
+    assert rows.where("embedding IS NOT NULL OR es IS NULL").isEmpty() and rows.count() == len(whole)
+    like = "run_id string, experiment_id string, cell_id string, embedding array<float>"
+    assert floats(jobs.handed_on(spark, kept, "embeddings", like)) == whole
+
+    jobs.compare_incrementally(spark, kept, dataset, runs, DIM)
+    assert_summaries(spark.read.parquet(f"{kept}/silver/summaries"), fx.SPECS)
+    columns = ["run_id", "experiment_id", "cell_id", "distance", "is_target"]
+    base = jobs.baseline(spark, root, dataset, DIM, None)
+    path = shared_path(spark, "turned")
+    base.select("cell_id", F.reverse("embedding").alias("embedding")).write.parquet(path)
+    named = runs.select("run_id", F.lit("t").alias("comparison_token"))
+    for other in (None, path):
+        found = []
+        for at in (root, kept):
+            jobs.compare_runs(spark, at, dataset, named, DIM, baseline_path=other)
+            found.append(sorted(map(tuple, spark.read.parquet(f"{at}/silver/distances").select(*columns).collect())))
+        assert len(found[0]) == len(whole) and found[0] == found[1]
+
+    run, experiment, cell = next(iter(whole))
+    got = {r.cell_id: list(r.embedding) for r in jobs.embeddings_of([(run, experiment)], rows, base).collect()}
+    assert len(got) == 12 and got[cell] == whole[run, experiment, cell]
+
+
+def test_entries_move_the_baseline_of_their_own_run(spark, dataset):
+    """Compared with another model's baseline, vectors are those of the model that ran, kept either way."""
+    found = []
+    for as_entries in (False, True):
+        root = shared_path(spark, "other-model")
+        specs = fx.specs(spark, fx.SPECS[:3])
+        runs = jobs.run_types(spark, root, dataset, specs, "c", DIM, "mock_foundation_model_2", as_entries=as_entries)
+        jobs.compare_incrementally(spark, root, dataset, runs, DIM, "mock_foundation_model_3")
+        rows = spark.read.parquet(f"{root}/silver/distances").select("run_id", "experiment_id", "cell_id", "distance")
+        found.append(sorted(map(tuple, rows.collect())))
+    assert found[0] and found[0] == found[1]
+
+
+def test_lost_entries_are_not_compared(spark, dataset):
+    root, specs = shared_path(spark, "lost-entries"), fx.specs(spark, fx.SPECS[:1])
+    jobs.run_types(spark, root, dataset, specs, "c", DIM, as_entries=True)
+    rows = spark.read.parquet(f"{root}/silver/embeddings")
+    none = F.lit(None).cast(embed.ENTRIES)
+    for broken in (rows.where("cell_id <> 'cell_000001'"), rows.withColumn("es", F.when(F.col("cell_id") != "cell_000001", F.col("es")).otherwise(none))):
+        named = spark.read.parquet(f"{root}/silver/runs").select("run_id", F.lit("t").alias("comparison_token"))
+        with pytest.raises(Exception, match="stored vectors are not those|kept neither whole nor as entries"):
+            jobs.compare_runs(spark, broken_copy(spark, root, broken), dataset, named, DIM)
+    with pytest.raises(ValueError, match="user's model"):
+        jobs.run_types(spark, root, dataset, specs, "d", 4, embed.UserModel("row_measures", "1", row_measures), as_entries=True)
