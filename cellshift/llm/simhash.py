@@ -94,7 +94,8 @@ def links(fingerprints: DataFrame) -> DataFrame:
     once = (tally == least) | (
         (F.col("cu") < 7) & (first_byte_shared | (F.col("cu") == 0))
     )
-    return a.join(
+    # 28 entries a fingerprint: a table whose file is small enough to broadcast is not so as an index
+    return a.hint("merge").join(
         b,
         (F.col("cu") == F.col("cv"))
         & (F.col("ku") == F.col("kv"))

@@ -437,3 +437,12 @@ def test_one_document_of_each_group_stays(spark, odd, none):
     assert kept.count() == len(roots)
     assert simhash.one_of_each(none, simhash.near_duplicates(none)).count() == 0
 
+
+
+def test_the_index_of_fingerprints_is_not_broadcast_for_the_size_of_its_file(spark):
+    prints = stored(spark.range(500).select(F.xxhash64("id").alias("fp")), "few-prints")
+    joined = simhash.links(prints)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    joined.collect()
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()  # nor after its stages
