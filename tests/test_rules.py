@@ -323,6 +323,29 @@ def test_ranks_of_unions_equal_sorting_them(spark):
     assert got == {(k, r): held[k][r] for k, r, size in wanted if r < size}
 
 
+def test_ranks_of_unions_read_what_is_moved_twice(spark):
+    """Keys of the same classes share a union, and the moved rows are not read once a pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(v):
+        seen.add(1)
+        return v
+
+    values = [i / 5000 + 0.25 for i in range(5000)]
+    shared = spark.createDataFrame([("a", v, 1) for v in values], "cid string, v double, n long")
+    names = [f"k{i}" for i in range(12)]
+    members = spark.createDataFrame([(k, "a") for k in names], "k string, cid string")
+    moved = [(k, v, n) for i, k in enumerate(names) for v, n in ((values[i * 3], -1), (2.0, 1), (values[7], 1), (values[7], -1))]
+    once = F.udf(told, "double").asNondeterministic()
+    own = spark.createDataFrame(moved, "k string, v double, n long").withColumn("v", once("v"))
+    wanted = spark.createDataFrame([(k, r, 5000) for k in names for r in (0, 2499, 2500, 4999)], "k string, rank long, n long")
+    got = {(r.k, r.rank): r.value for r in ranks.at_ranks_of_unions(shared, members, own, ["k"], wanted).collect()}
+    for i, k in enumerate(names):
+        held = sorted([*values[: i * 3], *values[i * 3 + 1 :], 2.0])
+        assert [got[k, r] for r in (0, 2499, 2500, 4999)] == [held[r] for r in (0, 2499, 2500, 4999)]
+    assert seen.value <= 2 * len(moved)
+
+
 def test_resting_summary_equals_brute_force(spark):
     """Three experiments move some of 300 cells; many cells share a resting distance."""
     cells = [(c, f"d{c % 3}" if c % 7 else None, f"t{c % 2}", 0.25 if c % 3 == 0 else (c * 31 % 97) / 60) for c in range(300)]
