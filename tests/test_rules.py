@@ -27,6 +27,7 @@ from cellshift.operators import (
     specs as sp,
 )
 from cellshift.operators.numbering import with_ordinal
+from cellshift.plans import jobs
 from cellshift.session import shared_path
 from cellshift.sources import tables
 from tests import fixtures as fx
@@ -617,3 +618,18 @@ def test_user_model_sees_cells_without_entries(spark):
     got = {r.cell_id: list(r.embedding) for r in out.collect()}
     assert len(got) == 12
     assert got["cell_000003"] == [0.0, 0.0]
+
+
+def test_many_small_runs_are_a_file_each_and_not_one_task(spark, tmp_path):
+    rows = spark.range(4000).selectExpr(
+        "concat('run', id % 40) AS run_id", "format_string('exp_%04d', id div 400) AS experiment_id", "id AS cell_id", "id div 400 AS position"
+    )
+    experiments = rows.select("run_id", "experiment_id").distinct()
+    tables.write_by_experiment(f"{tmp_path}/vectors", rows, tables.groups_of(experiments))
+    assert len(list((tmp_path / "vectors").glob("run_id=*/*.parquet"))) == 40
+    documents = rows.groupBy("run_id", F.lit(0).alias("part")).agg(F.count("cell_id").alias("n"))
+    jobs._write_run_documents(f"{tmp_path}/documents", documents)
+    tables.write_by_run(f"{tmp_path}/records", documents)
+    for name, kind in (("documents", "json"), ("records", "parquet")):
+        files = list((tmp_path / name).glob(f"run_id=*/*.{kind}"))
+        assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) > 1  # of more than one task
