@@ -633,3 +633,28 @@ def test_many_small_runs_are_a_file_each_and_not_one_task(spark, tmp_path):
     for name, kind in (("documents", "json"), ("records", "parquet")):
         files = list((tmp_path / name).glob(f"run_id=*/*.{kind}"))
         assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) > 1  # of more than one task
+
+
+def test_a_user_models_filled_rows_meet_their_cell_many_experiments_at_once(spark):
+    """The changes of a cell are listed where it meets its experiments, the same as in the delta table."""
+    up = [("gene_activation", None, ["GENE0001", "GENE0002"], None, 0.35 + i, None if i % 2 else ["donor_02"], None) for i in range(12)]
+    specs = sp.with_experiment_ids(fx.specs(spark, [*up, *fx.SPECS]).withColumn("run_id", F.lit("r")))
+    cells, genes = fx.cells(spark), fx.genes(spark)
+    nameless = cells.limit(1).withColumn("cell_id", F.lit(None).cast("string"))
+    more = [("cell_000000", "GENE0001", 2.0), ("cell_000002", "GENE0001", None), ("cell_000004", "GENE0002", -0.5)]
+    expression = fx.expression(spark).unionByName(spark.createDataFrame(more, model.EXPRESSION))
+    met = perturb.filled_changes(specs, cells, genes, expression, cells.select("cell_id"), 256).collect()
+    assert len(met) == 12  # a row a cell, not one an experiment and cell
+    got = sorted((c.experiment_id, r.cell_id, e.gene_symbol, e.value) for r in met for c in r.changes for e in c.e)
+    fills = [r.experiment_id for r in sp.with_effect(specs).where("shift > 0").collect()]
+    delta = perturb.delta_table(specs, cells, genes, expression).where("new_value <> old_value")
+    wanted = [(r.experiment_id, r.cell_id, r.gene_symbol, r.new_value) for r in delta.collect() if r.experiment_id in fills]
+    assert got == sorted(wanted) and len(wanted) > 100
+    model_ = embed.UserModel("sums", "1", lambda genes, values: np.array([[v.sum(), len(v)] for v in values]))
+    twice = cells.unionByName(cells.where("cell_id = 'cell_000003'")).unionByName(nameless)
+    base = embed.baseline_of(cells, expression, 2, model_)
+    tables_ = specs, twice, genes, expression
+    vectors = embed.changed_of(*tables_, base, 2, model_)
+    whole = embed.embed_changed(perturb.delta_table(*tables_), expression, model_.fn, 2).join(base.select("cell_id"), "cell_id")
+    told = lambda df, v: sorted((r.experiment_id, r.cell_id, *r[v]) for r in df.collect())
+    assert told(vectors, "after") == told(whole, "embedding")
